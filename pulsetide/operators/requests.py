@@ -14,6 +14,15 @@ SUMMARY_TYPE = (
     "window_count: bigint>"
 )
 
+# Up to this many users are asked for by broadcast: their ids, and their answers (three
+# rows each, some twenty megabytes in all), go to every task.
+BROADCAST_USERS = 50_000
+
+# Beyond that, a user with more than one in HOT_USERS of all requests is hot. There are
+# fewer than HOT_USERS such users, and each is spread over SPREAD join keys.
+HOT_USERS = 1_000
+SPREAD = 64
+
 
 def known_users(table: DataFrame) -> DataFrame:
     """Every user of the table, of any time, with the metrics they have rows for."""
@@ -34,20 +43,17 @@ def known_users(table: DataFrame) -> DataFrame:
     )
 
 
-def answers(
-    table: DataFrame, wanted: DataFrame, as_of: Column | datetime | str | None
-) -> DataFrame:
-    """One row per wanted known user and metric, with the summary where there is one."""
+def answers(table: DataFrame, as_of: Column | datetime | str | None) -> DataFrame:
+    """One row per user of the table and metric, with the summary where there is one."""
     statistics = F.struct(*STATISTICS).alias("data_summary")
     summaries = (
-        summarise(table, as_of, users=wanted)
+        summarise(table, as_of)
         .filter(F.col("metric_name").isin(*METRICS))
         .groupBy("user_id")
         .agg(F.map_from_entries(F.collect_list(F.struct("metric_name", statistics))).alias("found"))
     )
     return (
         known_users(table)
-        .join(wanted, "user_id", "left_semi")
         .join(summaries, "user_id", "left")
         .select(
             "user_id",
@@ -64,6 +70,32 @@ def answers(
     )
 
 
+def join_spread(requests: DataFrame, found: DataFrame) -> DataFrame:
+    """Left join of requests and answers in which no user's requests meet in one task.
+
+    Requests without a user match nothing; they are spread like a hot user's.
+    """
+    hot = (
+        requests.groupBy("user_id")
+        .count()
+        .filter(F.col("count") > requests.count() / HOT_USERS)
+        .select("user_id", F.lit(True).alias("hot"))
+    )
+    # Row content and task, and not a random number: a repeated task gives the same parts.
+    part = F.pmod(F.xxhash64(*requests.columns) + F.spark_partition_id(), F.lit(SPREAD))
+    all_parts = F.sequence(F.lit(0).cast("bigint"), F.lit(SPREAD - 1).cast("bigint"))
+    left = requests.join(F.broadcast(hot), "user_id", "left").withColumn(
+        "part",
+        F.when(F.col("hot") | F.col("user_id").isNull(), part).otherwise(0),
+    )
+    right = found.join(F.broadcast(hot), "user_id", "left").withColumn(
+        "part", F.explode(F.when(F.col("hot"), all_parts).otherwise(F.array(F.lit(0).cast("bigint"))))
+    )
+    return left.drop("hot").join(
+        right.drop("hot"), ["user_id", "metric_name", "part"], "left"
+    )
+
+
 def answer_requests(
     requests: DataFrame,
     table: DataFrame | None,
@@ -73,8 +105,8 @@ def answer_requests(
 
     Reasons are tested in this order: unknown metric, no table (``None``), unknown user,
     no row of the metric for the user, nothing in the look-back. Other columns of the
-    requests are kept. The last join has nothing after it that needs a partitioning, so
-    adaptive execution may split a user many requests ask for.
+    requests are kept. The number of users asked for is counted first, up to a limit, and
+    decides between a broadcast and a shuffle.
     """
     valid = F.coalesce(F.col("metric_name").isin(*METRICS), F.lit(False))
     if table is None:
@@ -82,6 +114,12 @@ def answer_requests(
             "status", F.when(valid, "no_gold_data").otherwise("invalid_metric")
         ).withColumn("data_summary", F.lit(None).cast(SUMMARY_TYPE))
     wanted = requests.filter(valid).select("user_id").dropna().distinct()
+    if wanted.limit(BROADCAST_USERS + 1).count() <= BROADCAST_USERS:
+        asked = table.join(F.broadcast(wanted), "user_id", "left_semi")
+        found = F.broadcast(answers(asked, as_of))
+        joined = requests.join(found, ["user_id", "metric_name"], "left")
+    else:
+        joined = join_spread(requests, answers(table, as_of))
     status = (
         F.when(~valid, "invalid_metric")
         .when(F.col("has_metric").isNull(), "unknown_user")
@@ -89,6 +127,4 @@ def answer_requests(
         .when(F.col("data_summary").isNull(), "no_recent_data")
         .otherwise("ok")
     )
-    return requests.join(
-        answers(table, wanted, as_of), ["user_id", "metric_name"], "left"
-    ).select(*requests.columns, status.alias("status"), "data_summary")
+    return joined.select(*requests.columns, status.alias("status"), "data_summary")

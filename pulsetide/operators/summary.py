@@ -16,6 +16,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from pulsetide.functions import event_time, present, round_half_even, trend
 from pulsetide.model import LOOK_BACK_HOURS, METRICS
@@ -36,44 +37,48 @@ def clip(value: Column, upper: Column) -> Column:
     return F.greatest(F.lit(0), F.least(value, upper))
 
 
-def rows_before(window) -> Column:
+def points_before(ordered: WindowSpec) -> Column:
     """Number of points in earlier rows of an ordered window."""
-    earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+    earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum("copies").over(earlier), F.lit(0))
 
 
+def first_half(ordered: WindowSpec) -> Column:
+    """Size of the earlier half of a series.
+
+    The frame spans the series, but the order is the one of ``points_before``: equal
+    specifications share one sort.
+    """
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return F.floor(F.sum("copies").over(whole) / 2)
+
+
 def latest_value() -> Column:
     """Value of the last point; points of the same time are ordered by value."""
     return F.max_by("value", F.struct("time", "value"))
 
 
-def hourly_statistics(
-    gold: DataFrame, metrics: Sequence[str], users: DataFrame | None
-) -> DataFrame:
+def hourly_statistics(gold: DataFrame, metrics: Sequence[str]) -> DataFrame:
     """Statistics per series of a table with one row per user and window."""
     columns = value_columns(gold, metrics)
     folded = (
-        gold.filter(F.col("user_id").isNotNull())
-        .groupBy(
+        gold.groupBy(
             "user_id",
             event_time(time_column(gold)).alias("time"),
             *[F.col(name) for name in columns.values()],
         )
         .agg(F.count("*").alias("copies"))
     )
-    if users is not None:
-        folded = folded.join(users, "user_id", "left_semi")
     # The generator after this shuffle keeps it, so the window and the groupBy need none.
     points = (
         folded.repartition("user_id")
         .select("user_id", "time", "copies", metric_rows(columns))
         .filter(present(F.col("value")))
     )
-    series = Window.partitionBy(*SERIES)
-    half = F.floor(F.sum("copies").over(series) / 2)
+    in_order = Window.partitionBy(*SERIES).orderBy("time", "value")
     placed = points.withColumn(
         "first_copies",
-        clip(half - rows_before(series.orderBy("time", "value")), F.col("copies")),
+        clip(first_half(in_order) - points_before(in_order), F.col("copies")),
     )
     return placed.groupBy(*SERIES).agg(
         F.min("value").alias("min"),
@@ -94,18 +99,29 @@ def half_totals() -> list[Column]:
     ]
 
 
-def point_statistics(points: DataFrame, users: DataFrame | None) -> DataFrame:
+def unordered_statistics(points: DataFrame) -> DataFrame:
+    """Statistics per series of points without time; nothing that needs an order."""
+    nothing = F.lit(None).cast("double")
+    return points.groupBy(*SERIES).agg(
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+        F.sum("value").alias("total"),
+        nothing.alias("latest"),
+        F.count("*").alias("window_count"),
+        nothing.alias("first_total"),
+        nothing.alias("second_total"),
+    )
+
+
+def point_statistics(points: DataFrame) -> DataFrame:
     """Statistics per series of points of any resolution, safe for a very long series."""
     slot = [*SERIES, "slot"]
     folded = (
-        points.filter(F.col("user_id").isNotNull() & F.col("metric_name").isNotNull())
-        .filter(present(F.col("value")))
-        .withColumn("slot", F.date_trunc("second", "time"))
+        points.withColumn("slot", F.date_trunc("second", "time"))
+        .filter(F.col("slot").isNotNull())
         .groupBy(*slot, "time", "value")
         .agg(F.count("*").alias("copies"))
     )
-    if users is not None:
-        folded = folded.join(users, "user_id", "left_semi")
     # Shared by the two branches below: Spark runs this shuffle once.
     by_slot = folded.repartition(*slot)
     slots = by_slot.groupBy(*slot).agg(
@@ -115,11 +131,10 @@ def point_statistics(points: DataFrame, users: DataFrame | None) -> DataFrame:
         F.max("value").alias("slot_max"),
         latest_value().alias("slot_latest"),
     )
-    series = Window.partitionBy(*SERIES)
-    half = F.floor(F.sum("copies").over(series) / 2)
-    placed = slots.withColumn(
-        "take", half - rows_before(series.orderBy("slot"))
-    ).withColumn("split", (F.col("take") > 0) & (F.col("take") < F.col("copies")))
+    in_order = Window.partitionBy(*SERIES).orderBy("slot")
+    placed = slots.withColumn("take", first_half(in_order) - points_before(in_order)).withColumn(
+        "split", (F.col("take") > 0) & (F.col("take") < F.col("copies"))
+    )
     statistics = placed.groupBy(*SERIES).agg(
         F.min("slot_min").alias("min"),
         F.max("slot_max").alias("max"),
@@ -131,10 +146,10 @@ def point_statistics(points: DataFrame, users: DataFrame | None) -> DataFrame:
         F.max(F.when(F.col("split"), F.struct("slot", "take"))).alias("cut"),
     )
     cuts = statistics.filter("cut IS NOT NULL").select(*SERIES, "cut.slot", "cut.take")
-    order = Window.partitionBy(*slot).orderBy("time", "value")
+    in_slot = Window.partitionBy(*slot).orderBy("time", "value")
     parts = (
         by_slot.join(cuts, slot)
-        .withColumn("first_copies", clip(F.col("take") - rows_before(order), F.col("copies")))
+        .withColumn("first_copies", clip(F.col("take") - points_before(in_slot), F.col("copies")))
         .groupBy(*SERIES)
         .agg(*half_totals())
     )
@@ -159,23 +174,23 @@ def point_statistics(points: DataFrame, users: DataFrame | None) -> DataFrame:
 def summarise(
     table: DataFrame,
     as_of: Column | datetime | str | None = None,
-    users: DataFrame | None = None,
     metrics: Sequence[str] = METRICS,
     hours: int = LOOK_BACK_HOURS,
     rounded: bool = True,
 ) -> DataFrame:
     """One row per user and metric with a value in the look-back.
 
-    ``users`` (column ``user_id``, distinct) limits the work to the users asked for.
-    A table without a time column is summarised whole; it has no order, so ``latest``
-    and ``trend`` are null.
+    For some users only, filter or semi-join the table first. A table without a time
+    column is summarised whole; it has no order, so ``latest`` and ``trend`` are null.
     """
-    kept = recent(table, as_of, hours)
+    kept = recent(table, as_of, hours).filter(F.col("user_id").isNotNull())
+    ordered = time_column(table) is not None
     if is_hourly(table, metrics):
-        statistics = hourly_statistics(kept, metrics, users)
+        statistics = hourly_statistics(kept, metrics)
     else:
-        statistics = point_statistics(to_long(kept, metrics), users)
-    ordered = F.lit(time_column(table) is not None)
+        points = to_long(kept, metrics).filter(present(F.col("value")))
+        points = points.filter(F.col("metric_name").isNotNull())
+        statistics = point_statistics(points) if ordered else unordered_statistics(points)
     count = F.col("window_count")
     half = F.floor(count / 2)
     # A series of one point has an empty earlier half.
@@ -187,7 +202,7 @@ def summarise(
         shown(F.col("min")).alias("min"),
         shown(F.col("max")).alias("max"),
         shown(F.col("total") / count).alias("avg"),
-        F.when(ordered, shown(F.col("latest"))).alias("latest"),
-        F.when(ordered, trend(count, first_mean, second_mean)).alias("trend"),
+        shown(F.col("latest")).alias("latest"),
+        F.when(F.lit(ordered), trend(count, first_mean, second_mean)).alias("trend"),
         count.alias("window_count"),
     )
