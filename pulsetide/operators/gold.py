@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsetide.functions import event_time
-from pulsetide.model import GOLD, WINDOW
+from pulsetide.model import WINDOW
 
 
 def hourly(silver: DataFrame, watermark: str | None = None) -> DataFrame:
@@ -24,10 +24,16 @@ def hourly(silver: DataFrame, watermark: str | None = None) -> DataFrame:
             F.sum("steps").alias("total_steps"),
             F.count("*").alias("event_count"),
         )
-        .withColumn("window_start", F.col("window.start"))
-        .withColumn("window_end", F.col("window.end"))
-        .withColumn("date", F.to_date("window_start"))
-        .select(*GOLD.fieldNames())
+        .select(
+            "user_id",
+            "avg_heart_rate",
+            "avg_spo2",
+            "total_steps",
+            "event_count",
+            F.col("window.start").alias("window_start"),
+            F.col("window.end").alias("window_end"),
+            F.to_date("window.start").alias("date"),
+        )
     )
 
 

@@ -30,14 +30,11 @@ def metric_catalog(gold: DataFrame) -> DataFrame:
 def with_baseline(frame: DataFrame) -> DataFrame:
     """Add the baseline text of ``metric_name``, or the default text.
 
-    The lookup table has one row per metric, hence the broadcast.
+    The lookup has one fixed entry per metric, so it is a literal and needs no join.
     """
-    lookup = frame.sparkSession.createDataFrame(
-        list(BASELINES.items()), "metric_name string, baseline string"
-    )
-    return frame.join(F.broadcast(lookup), "metric_name", "left").select(
-        *frame.columns, F.coalesce("baseline", F.lit(NO_BASELINE)).alias("baseline")
-    )
+    lookup = F.create_map(*[F.lit(part) for entry in BASELINES.items() for part in entry])
+    text = F.coalesce(F.try_element_at(lookup, F.col("metric_name")), F.lit(NO_BASELINE))
+    return frame.withColumn("baseline", text)
 
 
 def advice_prompts(summary: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsetide.model import SILVER, STREAM_NAMES, WATERMARK
+from pulsetide.model import GOLD, SILVER, STREAM_NAMES, WATERMARK
 from pulsetide.operators.bronze import count_by_date, to_bronze
 from pulsetide.operators.gold import hourly, union_by_name
 from pulsetide.operators.quality import dq_checks, layer_row_counts
@@ -103,7 +103,7 @@ def gold_hourly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     append_stream(
         stream, gold_path, scratch_path(spark, "checkpoint"), STREAM_NAMES["gold"]
     ).awaitTermination()
-    return plain_times(read_layer(spark, gold_path))
+    return plain_times(read_layer(spark, gold_path, GOLD))
 
 
 def gold_long(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Do not record the calling line of every column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Window state lives on disk, so open windows may outgrow the executor heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

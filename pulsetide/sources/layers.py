@@ -6,6 +6,10 @@ from pyspark.sql.types import StructType
 
 from pulsetide.model import MAX_FILES_PER_TRIGGER
 
+# Conditions Spark reports for a missing folder, a folder without files, and the folder
+# of a stream that has written none yet.
+NO_FILES = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "_LEGACY_ERROR_TEMP_1134")
+
 
 def read_layer(
     spark: SparkSession,
@@ -35,7 +39,7 @@ def find_layer(spark: SparkSession, path: str, **options) -> DataFrame | None:
     try:
         return read_layer(spark, path, **options)
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() in NO_FILES:
             return None
         raise
 

@@ -1,0 +1,198 @@
+"""Reading and writing: layers, damaged files, file layout, Kafka records."""
+
+import glob
+import os
+
+import pyarrow.parquet as pq
+import pytest
+from conftest import event, plan, records, rows
+from test_summary import AS_OF, wide
+
+from pulsetide.model import GOLD, SILVER
+from pulsetide.operators.bronze import to_bronze
+from pulsetide.operators.gold import hourly
+from pulsetide.operators.series import available_users, recent, user_history
+from pulsetide.operators.silver import to_silver
+from pulsetide.operators.summary import summarise
+from pulsetide.session import scratch_path, session
+from pulsetide.sinks.kafka import encode_events, publish
+from pulsetide.sinks.layers import overwrite_layer
+from pulsetide.sources.kafka import kafka_source
+from pulsetide.sources.layers import find_layer, read_layer
+
+
+@pytest.fixture
+def path(tmp_path):
+    return str(tmp_path / "layer")
+
+
+@pytest.fixture
+def gold_layer(spark, path):
+    """A written gold layer of 40 users over two days."""
+    table = wide(spark, [(f"u{n:02}", h, 70.0, 97.0, n) for n in range(40) for h in range(0, 40, 4)])
+    overwrite_layer(table, path, ("user_id", "window_start"))
+    return path
+
+
+def parquet_files(path):
+    return glob.glob(f"{path}/**/*.parquet", recursive=True)
+
+
+def test_round_trip_infers_the_date_partition(spark, path):
+    silver = to_silver(to_bronze(records(spark, [event(), event(at=None), event(hr=150)])))
+    assert overwrite_layer(silver, path) == 3
+    back = read_layer(spark, path)
+    assert back.schema["date"].dataType.typeName() == "date"
+    columns = [name for name in silver.columns if name != "ingestion_timestamp"]
+    assert rows(back, *columns) == rows(silver, *columns)
+    assert os.path.isdir(f"{path}/date=__HIVE_DEFAULT_PARTITION__")
+    assert rows(read_layer(spark, path, SILVER), *columns) == rows(silver, *columns)
+
+
+def test_overwrite_replaces_and_counts(spark, path):
+    assert overwrite_layer(wide(spark, [("u1", 1, 1.0, 1.0, 1)] * 5), path) == 5
+    assert overwrite_layer(wide(spark, [("u2", 1, 1.0, 1.0, 1)]), path) == 1
+    assert overwrite_layer(wide(spark, []), f"{path}-empty") == 0
+    assert rows(read_layer(spark, path), "user_id") == [("u2",)]
+
+
+def test_file_count_and_codec(spark, path):
+    table = wide(spark, [(f"u{n}", 1, 70.0, 97.0, n) for n in range(100)]).repartition(8)
+    overwrite_layer(table, path)
+    assert len(parquet_files(path)) == 8
+    overwrite_layer(table, path, files=1)
+    (only,) = parquet_files(path)
+    assert ".snappy." in only
+    assert pq.ParquetFile(only).metadata.row_group(0).column(0).compression == "SNAPPY"
+    overwrite_layer(table, path, files=2, codec="zstd")
+    assert {".zstd." in name for name in parquet_files(path)} == {True}
+
+
+def test_gold_files_hold_narrow_user_ranges(spark, path, setting):
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    # One date holds every row, and one user a third of them.
+    hot = [("hot", 0.2 + n / 100, 70.0, 97.0, n) for n in range(50)]
+    table = wide(spark, hot + [(f"u{n:03}", 1, 70.0, 97.0, n) for n in range(100)])
+    overwrite_layer(table.repartition(8), path, ("user_id", "window_start"))
+    spans = []
+    for name in parquet_files(path):
+        users = pq.read_table(name, columns=["user_id"])["user_id"].to_pylist()
+        assert users == sorted(users)
+        spans.append((users[0], users[-1], len(users)))
+    spans.sort()
+    assert len(spans) > 4 and max(count for *_, count in spans) < 75
+    assert all(left[1] <= right[0] for left, right in zip(spans, spans[1:]))
+
+
+def test_damaged_file_is_skipped_only_when_asked(spark, gold_layer):
+    whole = read_layer(spark, gold_layer).count()
+    part = os.path.dirname(parquet_files(gold_layer)[0])
+    with open(f"{part}/broken.parquet", "wb") as file:
+        file.write(b"junk" * 100)
+    with open(f"{part}/notes.txt", "w") as file:
+        file.write("not a table")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        read_layer(spark, gold_layer, GOLD).selectExpr("max(user_id)").collect()
+    kept = read_layer(spark, gold_layer, GOLD, skip_unreadable=True)
+    assert kept.filter("user_id IS NOT NULL").count() == whole
+    assert len(rows(available_users(kept))) == 40
+
+
+def test_files_with_different_columns_are_merged(spark, path):
+    spark.createDataFrame([("u1", 1.0)], "user_id string, avg_spo2 double").write.parquet(
+        f"{path}/date=2026-01-01"
+    )
+    spark.createDataFrame([("u2", 5)], "user_id string, total_steps bigint").write.parquet(
+        f"{path}/date=2026-01-02"
+    )
+    merged = read_layer(spark, path, merge_schema=True)
+    assert rows(merged, "user_id", "avg_spo2", "total_steps") == [
+        ("u1", 1.0, None),
+        ("u2", None, 5),
+    ]
+
+
+def test_absent_and_empty_layers(spark, tmp_path):
+    assert find_layer(spark, str(tmp_path / "nowhere")) is None
+    (tmp_path / "empty").mkdir()
+    assert find_layer(spark, str(tmp_path / "empty")) is None
+    (tmp_path / "empty" / "readme.txt").write_text("x")
+    assert find_layer(spark, str(tmp_path / "empty")) is None
+
+
+# --- What reaches the scan --------------------------------------------------------
+
+
+def test_user_filter_reaches_the_scan(spark, gold_layer):
+    history = user_history(read_layer(spark, gold_layer), "u07")
+    assert "EqualTo(user_id,u07)" in plan(history)
+    times = [row["window_end"] for row in history.collect()]
+    assert len(times) == 10 and times == sorted(times)
+
+
+def test_user_list_reads_one_column(spark, gold_layer):
+    text = plan(available_users(read_layer(spark, gold_layer)))
+    assert "ReadSchema: struct<user_id:string>" in text
+
+
+def test_look_back_prunes_dates_and_pushes_the_time(spark, gold_layer):
+    text = plan(recent(read_layer(spark, gold_layer), AS_OF))
+    (partition,) = [part for part in text.split("PartitionFilters: ")[1:]]
+    assert "date" in partition.split("]")[0]
+    assert "GreaterThanOrEqual(window_end" in text
+
+
+def test_look_back_from_now_prunes_too(spark, gold_layer):
+    text = plan(summarise(read_layer(spark, gold_layer)))
+    assert "PartitionFilters: [isnotnull(date" in text
+
+
+def test_summary_reads_only_what_it_needs(spark, gold_layer):
+    text = plan(summarise(read_layer(spark, gold_layer), AS_OF))
+    schema = text.split("ReadSchema: ")[1].split(">")[0]
+    assert "event_count" not in schema and "window_start" not in schema
+
+
+def test_gold_reads_only_what_it_needs(spark, path):
+    overwrite_layer(to_silver(to_bronze(records(spark, [event()]))), path)
+    text = plan(hourly(read_layer(spark, path)))
+    schema = text.split("ReadSchema: ")[1].split(">")[0]
+    assert "kafka_offset" not in schema and "is_anomaly" not in schema
+
+
+# --- Kafka ------------------------------------------------------------------------
+
+
+def test_encoded_events_parse_back(spark):
+    bronze = to_bronze(records(spark, [event(), event(hr=None), event(user="ü")]))
+    encoded = encode_events(bronze)
+    assert dict(encoded.dtypes) == {"key": "binary", "value": "binary"}
+    again = to_bronze(encoded.selectExpr("*", "1 AS partition", "2L AS offset"))
+    fields = ("user_id", "timestamp", "heart_rate", "steps", "spo2")
+    assert rows(again, *fields) == rows(bronze, *fields)
+    texts = rows(encoded.selectExpr("CAST(key AS string)", "CAST(value AS string)"))
+    assert texts[0] == (
+        "u1",
+        '{"user_id":"u1","timestamp":"2026-01-02T10:05:00Z","heart_rate":70,"steps":5,"spo2":97.0}',
+    )
+
+
+def test_kafka_needs_its_connector(spark):
+    with pytest.raises(Exception, match="(?i)kafka"):
+        kafka_source(spark, "localhost:9092", minPartitions="12")
+    with pytest.raises(Exception, match="(?i)kafka"):
+        publish(to_bronze(records(spark, [event()])), "localhost:9092")
+
+
+# --- Session ----------------------------------------------------------------------
+
+
+def test_session_settings(spark):
+    assert session("tests", spark__sql__shuffle__partitions="8").sparkContext is spark.sparkContext
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_scratch_folders_are_shared_and_new(spark, setting):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = scratch_path(spark, "a"), scratch_path(spark, "a")
+    assert first.startswith(shared) and first != second
