@@ -18,14 +18,10 @@ HEADLINE = [
     "gold_hourly",
     "bronze_parse",
     "silver_clean",
-    "event_encode",
-    "available_users",
     "user_metric_summary",
     "long_layout_summary",
     "metric_trend",
     "answer_requests",
-    "advice_prompt",
-    "summary_rows",
     "dq_checks",
     "gold_batch_roundtrip",
     "gold_hourly_stream",

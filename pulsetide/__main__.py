@@ -21,6 +21,13 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--root", required=True, help="folder that holds the layers")
     parser.add_argument("--brokers", default="localhost:9092", help="Kafka bootstrap servers")
     parser.add_argument("--topic", default=None, help="Kafka topic")
+    parser.add_argument(
+        "--option",
+        action="append",
+        default=[],
+        metavar="KEY=VALUE",
+        help="bronze: an option of the Kafka source, such as maxOffsetsPerTrigger=1000000",
+    )
     parser.add_argument("--batch", action="store_true", help="gold: run once over all of silver")
     parser.add_argument("--out", default=None, help="another gold folder, or a report as JSON")
     parser.add_argument("--once", action="store_true", help="take what is there and stop")

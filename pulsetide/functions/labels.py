@@ -13,6 +13,11 @@ def user_label(user_id: Column) -> Column:
     return F.concat(F.lit(USER_LABEL_PREFIX), first_only)
 
 
+def padded_user_id(number: Column, digits: int = 3) -> Column:
+    """``user_007``; a number with more digits keeps them all."""
+    return F.format_string(f"{USER_ID_PREFIX}%0{digits}d", number)
+
+
 def metric_label(statistic: str) -> str:
     """Display label of a statistic; one without a label keeps its own name."""
     return STATISTIC_LABELS.get(statistic, statistic)

@@ -70,26 +70,28 @@ def answers(table: DataFrame, as_of: Column | datetime | str | None) -> DataFram
     )
 
 
-def join_spread(requests: DataFrame, found: DataFrame) -> DataFrame:
-    """Left join of requests and answers in which no user's requests meet in one task.
+def join_spread(requests: DataFrame, total: int, found: DataFrame) -> DataFrame:
+    """Left join of ``total`` requests and answers, with hot users spread over many tasks.
 
     Requests without a user match nothing; they are spread like a hot user's.
     """
     hot = (
         requests.groupBy("user_id")
         .count()
-        .filter(F.col("count") > requests.count() / HOT_USERS)
+        .filter(F.col("count") > total / HOT_USERS)
         .select("user_id", F.lit(True).alias("hot"))
     )
     # Row content and task, and not a random number: a repeated task gives the same parts.
-    part = F.pmod(F.xxhash64(*requests.columns) + F.spark_partition_id(), F.lit(SPREAD))
+    content = F.pmod(F.xxhash64(*requests.columns), F.lit(SPREAD))
+    part = F.pmod(content + F.spark_partition_id(), F.lit(SPREAD))
     all_parts = F.sequence(F.lit(0).cast("bigint"), F.lit(SPREAD - 1).cast("bigint"))
     left = requests.join(F.broadcast(hot), "user_id", "left").withColumn(
         "part",
         F.when(F.col("hot") | F.col("user_id").isNull(), part).otherwise(0),
     )
+    one_part = F.array(F.lit(0).cast("bigint"))
     right = found.join(F.broadcast(hot), "user_id", "left").withColumn(
-        "part", F.explode(F.when(F.col("hot"), all_parts).otherwise(F.array(F.lit(0).cast("bigint"))))
+        "part", F.explode(F.when(F.col("hot"), all_parts).otherwise(one_part))
     )
     return left.drop("hot").join(
         right.drop("hot"), ["user_id", "metric_name", "part"], "left"
@@ -105,21 +107,24 @@ def answer_requests(
 
     Reasons are tested in this order: unknown metric, no table (``None``), unknown user,
     no row of the metric for the user, nothing in the look-back. Other columns of the
-    requests are kept. The number of users asked for is counted first, up to a limit, and
-    decides between a broadcast and a shuffle.
+    requests are kept. Requests and the users asked for are counted first, which decides
+    between a broadcast and a shuffle.
     """
     valid = F.coalesce(F.col("metric_name").isin(*METRICS), F.lit(False))
     if table is None:
         return requests.withColumn(
             "status", F.when(valid, "no_gold_data").otherwise("invalid_metric")
         ).withColumn("data_summary", F.lit(None).cast(SUMMARY_TYPE))
-    wanted = requests.filter(valid).select("user_id").dropna().distinct()
-    if wanted.limit(BROADCAST_USERS + 1).count() <= BROADCAST_USERS:
+    total, users = requests.agg(
+        F.count("*"), F.count_distinct(F.when(valid, F.col("user_id")))
+    ).first()
+    if users <= BROADCAST_USERS:
+        wanted = requests.filter(valid).select("user_id").dropna().distinct()
         asked = table.join(F.broadcast(wanted), "user_id", "left_semi")
         found = F.broadcast(answers(asked, as_of))
         joined = requests.join(found, ["user_id", "metric_name"], "left")
     else:
-        joined = join_spread(requests, answers(table, as_of))
+        joined = join_spread(requests, total, answers(table, as_of))
     status = (
         F.when(~valid, "invalid_metric")
         .when(F.col("has_metric").isNull(), "unknown_user")

@@ -41,7 +41,8 @@ def start(spark: SparkSession, options: Namespace):
     every = None if options.once else options.every or TRIGGERS[options.job]
     max_files = options.max_files or MAX_FILES_PER_TRIGGER
     if options.job == "bronze":
-        records = kafka_source(spark, options.brokers, options.topic or TOPIC)
+        extra = dict(option.split("=", 1) for option in options.option)
+        records = kafka_source(spark, options.brokers, options.topic or TOPIC, **extra)
         return start_bronze(records, options.root, every, options.files)
     begin = start_silver if options.job == "silver" else start_gold
     return begin(spark, options.root, every, options.files, max_files)

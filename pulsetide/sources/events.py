@@ -3,13 +3,13 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsetide.functions import iso_text
+from pulsetide.functions import iso_text, padded_user_id
 from pulsetide.model import TOPIC
 
 
 def sample_user_id(number: Column) -> Column:
-    """``user_0042``; longer numbers keep all their digits."""
-    return F.format_string("user_%04d", number)
+    """Id of a user of the sample tables."""
+    return padded_user_id(number, digits=4)
 
 
 def readings(events: DataFrame) -> DataFrame:

@@ -2,8 +2,10 @@
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 from test_summary import AS_OF, wide
 
+from pulsetide.functions import padded_user_id
 from pulsetide.model import BASELINES, NO_BASELINE
 from pulsetide.operators.reports import (
     advice_prompts,
@@ -100,3 +102,8 @@ def test_catalog_lists_the_three_metrics(spark):
         ("spo2", "avg_spo2", 1),
         ("steps", "total_steps", 1),
     ]
+
+
+def test_padded_ids_keep_long_numbers(spark):
+    ids = spark.range(3).select(padded_user_id(F.pow(F.lit(10), 2 * F.col("id")).cast("bigint")))
+    assert rows(ids) == [("user_001",), ("user_100",), ("user_10000",)]

@@ -128,7 +128,7 @@ def test_parts_of_a_hot_user_are_even(spark, monkeypatch):
     found = spark.createDataFrame(
         [("u7", "steps", True)], "user_id string, metric_name string, has_metric boolean"
     )
-    parts = module.join_spread(requests, found).groupBy("part").count()
+    parts = module.join_spread(requests, 6400, found).groupBy("part").count()
     counts = [count for _, count in rows(parts)]
     assert len(counts) == module.SPREAD and sum(counts) == 6400 and max(counts) < 200
 

@@ -165,7 +165,7 @@ def test_both_plans_agree(spark):
     )
 
 
-def test_rounding_is_that_of_the_reference_language(spark):
+def test_rounding_is_that_of_python(spark):
     series = [("u1", n, value, None, None) for n, value in enumerate([2.675, 0.125, 1.005])]
     got = one_metric(summarise(wide(spark, series), AS_OF))
     assert got == [("u1", "heart_rate", 0.12, 2.67, round(3.805 / 3, 2), 2.67, "increasing", 3)]
