@@ -25,6 +25,6 @@ def metric_label(statistic: str) -> str:
 
 def display_number(value: Column) -> Column:
     """Whole numbers without decimals, others with two."""
-    return F.when(value == F.floor(value), formatted(value, "0")).otherwise(
+    return F.when(value == F.rint(value), formatted(value, "0")).otherwise(
         formatted(value, "0.00")
     )

@@ -91,14 +91,23 @@ def hourly_statistics(gold: DataFrame, metrics: Sequence[str]) -> DataFrame:
 
 
 def half_totals() -> list[Column]:
-    """Totals of the earlier and the later half of the points."""
-    later = F.col("copies") - F.col("first_copies")
+    """Totals of the earlier and the later half of the points.
+
+    A point outside a half is left out and not weighted zero: it may be infinite.
+    """
+    first = F.col("first_copies")
+    later = F.col("copies") - first
     return [
-        F.sum(F.col("value") * F.col("first_copies")).alias("first_total"),
-        F.sum(F.col("value") * later).alias("second_total"),
+        F.sum(F.when(first > 0, F.col("value") * first)).alias("first_total"),
+        F.sum(F.when(later > 0, F.col("value") * later)).alias("second_total"),
     ]
 
 
+def plus(left: str, right: str) -> Column:
+    """Sum of two columns in which null stands for nothing."""
+    return F.coalesce(left, F.lit(0.0)) + F.coalesce(right, F.lit(0.0))
+
+
 def unordered_statistics(points: DataFrame) -> DataFrame:
     """Statistics per series of points without time; nothing that needs an order."""
     nothing = F.lit(None).cast("double")
@@ -153,7 +162,6 @@ def point_statistics(points: DataFrame) -> DataFrame:
         .groupBy(*SERIES)
         .agg(*half_totals())
     )
-    zero = F.lit(0.0)
     return statistics.join(parts, SERIES, "left").select(
         *SERIES,
         "min",
@@ -161,13 +169,8 @@ def point_statistics(points: DataFrame) -> DataFrame:
         "total",
         "latest",
         "window_count",
-        *[
-            (F.coalesce(whole, zero) + F.coalesce(part, zero)).alias(part_name)
-            for whole, part, part_name in [
-                (F.col("whole_first"), F.col("first_total"), "first_total"),
-                (F.col("whole_second"), F.col("second_total"), "second_total"),
-            ]
-        ],
+        plus("whole_first", "first_total").alias("first_total"),
+        plus("whole_second", "second_total").alias("second_total"),
     )
 
 

@@ -173,6 +173,22 @@ def test_rounding_is_that_of_python(spark):
     assert exact[0][2:4] == (0.125, 2.675)
 
 
+@pytest.mark.parametrize("layout", ["hourly", "points"])
+def test_infinite_and_huge_values(spark, layout):
+    inf = float("inf")
+    series = [("u1", 3, inf, 1e300, None), ("u1", 2, 1.0, 1e300, None), ("u2", 1, inf, 1.5, None)]
+    if layout == "hourly":
+        table = wide(spark, series)
+    else:
+        table = points(spark, list(long_series(series)))
+    assert rows(summarise(table, AS_OF)) == [
+        ("u1", "heart_rate", 1.0, inf, inf, 1.0, "stable", 2),
+        ("u1", "spo2", 1e300, 1e300, 1e300, 1e300, "stable", 2),
+        ("u2", "heart_rate", inf, inf, inf, inf, "stable", 1),
+        ("u2", "spo2", 1.5, 1.5, 1.5, 1.5, "stable", 1),
+    ]
+
+
 def test_look_back_is_inclusive_and_open_upward(spark):
     table = wide(spark, [("u1", hours, 70.0, 97.0, 1) for hours in (25, 24, 0, -5)])
     assert rows(recent(table, AS_OF).selectExpr("hour(window_end)")) == [(12,), (12,), (17,)]
