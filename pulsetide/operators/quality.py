@@ -73,7 +73,9 @@ def layer_checks(layer: str, frame: DataFrame) -> DataFrame:
     rules = row_rules()[layer]
     present_columns = set(frame.columns)
     missing = [name for name in REQUIRED_COLUMNS[layer] if name not in present_columns]
-    testable = {name: rule for name, (needs, rule) in rules.items() if set(needs) <= present_columns}
+    testable = {
+        name: rule for name, (needs, rule) in rules.items() if set(needs) <= present_columns
+    }
 
     measures = [F.count("*").alias("row_count")]
     for name, rule in testable.items():

@@ -58,17 +58,16 @@ def latest_value() -> Column:
     return F.max_by("value", F.struct("time", "value"))
 
 
+def fold_windows(gold: DataFrame, values: Sequence[str]) -> DataFrame:
+    """Equal rows of a user and window as one row with the number of its copies."""
+    time = event_time(time_column(gold)).alias("time")
+    return gold.groupBy("user_id", time, *values).agg(F.count("*").alias("copies"))
+
+
 def hourly_statistics(gold: DataFrame, metrics: Sequence[str]) -> DataFrame:
     """Statistics per series of a table with one row per user and window."""
     columns = value_columns(gold, metrics)
-    folded = (
-        gold.groupBy(
-            "user_id",
-            event_time(time_column(gold)).alias("time"),
-            *[F.col(name) for name in columns.values()],
-        )
-        .agg(F.count("*").alias("copies"))
-    )
+    folded = fold_windows(gold, list(columns.values()))
     # The generator after this shuffle keeps it, so the window and the groupBy need none.
     points = (
         folded.repartition("user_id")
@@ -122,18 +121,25 @@ def unordered_statistics(points: DataFrame) -> DataFrame:
     )
 
 
-def point_statistics(points: DataFrame) -> DataFrame:
-    """Statistics per series of points of any resolution, safe for a very long series."""
-    slot = [*SERIES, "slot"]
-    folded = (
+SLOT = [*SERIES, "slot"]
+
+
+def points_by_second(points: DataFrame) -> DataFrame:
+    """Points with their second as ``slot``, equal ones folded, spread by series and second."""
+    return (
         points.withColumn("slot", F.date_trunc("second", "time"))
         .filter(F.col("slot").isNotNull())
-        .groupBy(*slot, "time", "value")
+        .groupBy(*SLOT, "time", "value")
         .agg(F.count("*").alias("copies"))
+        .repartition(*SLOT)
     )
-    # Shared by the two branches below: Spark runs this shuffle once.
-    by_slot = folded.repartition(*slot)
-    slots = by_slot.groupBy(*slot).agg(
+
+
+def point_statistics(points: DataFrame) -> DataFrame:
+    """Statistics per series of points of any resolution, safe for a very long series."""
+    # Shared by the two branches below: Spark runs its shuffles once.
+    by_slot = points_by_second(points)
+    slots = by_slot.groupBy(*SLOT).agg(
         F.sum("copies").alias("copies"),
         F.sum(F.col("value") * F.col("copies")).alias("slot_total"),
         F.min("value").alias("slot_min"),
@@ -155,9 +161,9 @@ def point_statistics(points: DataFrame) -> DataFrame:
         F.max(F.when(F.col("split"), F.struct("slot", "take"))).alias("cut"),
     )
     cuts = statistics.filter("cut IS NOT NULL").select(*SERIES, "cut.slot", "cut.take")
-    in_slot = Window.partitionBy(*slot).orderBy("time", "value")
+    in_slot = Window.partitionBy(*SLOT).orderBy("time", "value")
     parts = (
-        by_slot.join(cuts, slot)
+        by_slot.join(cuts, SLOT)
         .withColumn("first_copies", clip(F.col("take") - points_before(in_slot), F.col("copies")))
         .groupBy(*SERIES)
         .agg(*half_totals())

@@ -3,6 +3,7 @@
 from argparse import Namespace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from pulsetide.model import MAX_FILES_PER_TRIGGER, TOPIC, TRIGGERS
 from pulsetide.operators.quality import dq_checks
@@ -36,7 +37,7 @@ def run(options: Namespace) -> None:
         report(spark, options).show(SHOWN_ROWS, truncate=False)
 
 
-def start(spark: SparkSession, options: Namespace):
+def start(spark: SparkSession, options: Namespace) -> StreamingQuery:
     """The streaming query of a layer."""
     every = None if options.once else options.every or TRIGGERS[options.job]
     max_files = options.max_files or MAX_FILES_PER_TRIGGER

@@ -8,7 +8,7 @@ import pytest
 from conftest import event, plan, records, rows
 from test_summary import AS_OF, wide
 
-from pulsetide.model import GOLD, SILVER
+from pulsetide.model import BRONZE, GOLD, SILVER
 from pulsetide.operators.bronze import to_bronze
 from pulsetide.operators.gold import hourly
 from pulsetide.operators.series import available_users, recent, user_history
@@ -29,7 +29,8 @@ def path(tmp_path):
 @pytest.fixture
 def gold_layer(spark, path):
     """A written gold layer of 40 users over two days."""
-    table = wide(spark, [(f"u{n:02}", h, 70.0, 97.0, n) for n in range(40) for h in range(0, 40, 4)])
+    hours = range(0, 40, 4)
+    table = wide(spark, [(f"u{n:02}", h, 70.0, 97.0, n) for n in range(40) for h in hours])
     overwrite_layer(table, path, ("user_id", "window_start"))
     return path
 
@@ -153,6 +154,15 @@ def test_summary_reads_only_what_it_needs(spark, gold_layer):
     assert "event_count" not in schema and "window_start" not in schema
 
 
+def test_silver_ranges_reach_the_scan_of_bronze(spark, path):
+    overwrite_layer(to_bronze(records(spark, [event(), event(hr=10)])), path)
+    silver = to_silver(read_layer(spark, path, BRONZE))
+    pushed = plan(silver).split("PushedFilters: ")[1].split("]")[0]
+    assert "GreaterThanOrEqual(heart_rate,30)" in pushed and "IsNotNull(spo2)" in pushed
+    assert "Exchange" not in plan(silver)
+    assert silver.count() == 1
+
+
 def test_gold_reads_only_what_it_needs(spark, path):
     overwrite_layer(to_silver(to_bronze(records(spark, [event()]))), path)
     text = plan(hourly(read_layer(spark, path)))

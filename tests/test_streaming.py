@@ -88,7 +88,12 @@ def topic_folder(spark, root, *batches):
 
 
 BATCHES = (
-    [event(at=at("10:05")), event(at=at("10:15"), hr=140), event(at=at("10:20"), hr=10), "not json"],
+    [
+        event(at=at("10:05")),
+        event(at=at("10:15"), hr=140),
+        event(at=at("10:20"), hr=10),
+        "not json",
+    ],
     [event(at=at("11:00")), event(user="u2", at=at("10:59")), event(user=None, at=at("10:30"))],
     [event(at=at("12:40"))],
 )

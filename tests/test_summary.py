@@ -7,9 +7,15 @@ from collections import defaultdict
 
 import pytest
 from conftest import final_plan, rows
+from pyspark.sql import functions as F
 
 from pulsetide.operators.series import recent, time_column, to_long, value_columns
-from pulsetide.operators.summary import point_statistics, summarise
+from pulsetide.operators.summary import (
+    fold_windows,
+    point_statistics,
+    points_by_second,
+    summarise,
+)
 
 NOON = dt.datetime(2026, 1, 2, 12, tzinfo=dt.timezone.utc)
 AS_OF = NOON
@@ -153,7 +159,8 @@ def test_midpoint_inside_one_second(spark):
 def test_both_plans_agree(spark):
     series = random_hours(7)
     table = recent(wide(spark, series), AS_OF)
-    slow = point_statistics(to_long(table).filter("user_id IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)"))
+    named = to_long(table).filter("user_id IS NOT NULL")
+    slow = point_statistics(named.filter("value IS NOT NULL AND NOT isnan(value)"))
     assert rows(slow, "user_id", "metric_name", "window_count", "min", "max", "latest") == rows(
         summarise(table, AS_OF, rounded=False),
         "user_id",
@@ -283,3 +290,30 @@ def test_point_plan_never_gathers_raw_points_per_series(spark, setting):
     assert "ReusedExchange" in text  # the shuffle by second serves both branches
     assert "Python" not in text
     assert rows(frame) == by_hand(series)
+
+
+# --- Hot users -------------------------------------------------------------------
+
+
+def test_copies_of_a_hot_user_are_folded_to_one_row_per_window(spark):
+    hot = [("hot", n % 24, 70.0, 97.0, 5) for n in range(1000)]
+    table = wide(spark, hot + [(f"u{n}", 1, 70.0, 97.0, 5) for n in range(2000)])
+    folded = fold_windows(table, ["avg_heart_rate", "avg_spo2", "total_steps"])
+    sizes = dict(rows(folded.groupBy("user_id").count()))
+    assert sizes["hot"] == 24 and max(sizes.values()) == 24
+    assert rows(folded.selectExpr("sum(copies)")) == [(3000,)]
+    assert rows(summarise(table, AS_OF).filter("user_id = 'hot'"), "window_count") == [(1000,)] * 3
+
+
+def test_points_of_a_hot_user_are_spread_over_all_tasks(spark, setting):
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    points_table = spark.range(60000).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('u', id % 500)) AS user_id",
+        "'steps' AS metric_name",
+        "CAST(id % 50 AS double) AS value",
+        "timestamp_seconds(1767355200 - id % 7200) AS time",
+    )
+    spread = points_by_second(points_table)
+    sizes = [size for _, size in rows(spread.groupBy(F.spark_partition_id()).count())]
+    assert len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / len(sizes)
+    assert rows(spread.selectExpr("sum(copies)")) == [(60000,)]
