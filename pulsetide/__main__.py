@@ -35,6 +35,7 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--files", type=int, default=None, help="output tasks per batch")
     parser.add_argument("--max-files", type=int, default=None, help="input files per trigger")
     parser.add_argument("--user", default=None, help="summary: the user asked for")
+    parser.add_argument("--as-of", default=None, help="summary: end of the look-back, ISO-8601")
     parser.add_argument("--metric", default=None, help="summary: the metric asked for")
     return parser.parse_args()
 

@@ -43,19 +43,14 @@ def points_before(ordered: WindowSpec) -> Column:
     return F.coalesce(F.sum("copies").over(earlier), F.lit(0))
 
 
-def first_half(ordered: WindowSpec) -> Column:
-    """Size of the earlier half of a series.
-
-    The frame spans the series, but the order is the one of ``points_before``: equal
-    specifications share one sort.
-    """
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return F.floor(F.sum("copies").over(whole) / 2)
+def whole_series(ordered: WindowSpec) -> WindowSpec:
+    """The frame of all rows, in the order of ``points_before``, so that both share a sort."""
+    return ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
-def latest_value() -> Column:
-    """Value of the last point; points of the same time are ordered by value."""
-    return F.max_by("value", F.struct("time", "value"))
+def first_half(ordered: WindowSpec) -> Column:
+    """Size of the earlier half of a series."""
+    return F.floor(F.sum("copies").over(whole_series(ordered)) / 2)
 
 
 def fold_windows(gold: DataFrame, values: Sequence[str]) -> DataFrame:
@@ -75,15 +70,16 @@ def hourly_statistics(gold: DataFrame, metrics: Sequence[str]) -> DataFrame:
         .filter(present(F.col("value")))
     )
     in_order = Window.partitionBy(*SERIES).orderBy("time", "value")
-    placed = points.withColumn(
-        "first_copies",
-        clip(first_half(in_order) - points_before(in_order), F.col("copies")),
+    placed = points.select(
+        "*",
+        clip(first_half(in_order) - points_before(in_order), F.col("copies")).alias("first_copies"),
+        F.last("value").over(whole_series(in_order)).alias("last_value"),
     )
     return placed.groupBy(*SERIES).agg(
         F.min("value").alias("min"),
         F.max("value").alias("max"),
         F.sum(F.col("value") * F.col("copies")).alias("total"),
-        latest_value().alias("latest"),
+        F.max("last_value").alias("latest"),
         F.sum("copies").alias("window_count"),
         *half_totals(),
     )
@@ -144,7 +140,8 @@ def point_statistics(points: DataFrame) -> DataFrame:
         F.sum(F.col("value") * F.col("copies")).alias("slot_total"),
         F.min("value").alias("slot_min"),
         F.max("value").alias("slot_max"),
-        latest_value().alias("slot_latest"),
+        # Points of the same time are ordered by value.
+        F.max_by("value", F.struct("time", "value")).alias("slot_latest"),
     )
     in_order = Window.partitionBy(*SERIES).orderBy("slot")
     placed = slots.withColumn("take", first_half(in_order) - points_before(in_order)).withColumn(

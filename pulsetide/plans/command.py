@@ -62,6 +62,6 @@ def report(spark: SparkSession, options: Namespace) -> DataFrame:
     request = spark.createDataFrame(
         [(options.user, options.metric)], "user_id string, metric_name string"
     )
-    answered = answer_requests(request, gold, as_of=None)
+    answered = answer_requests(request, gold, options.as_of)
     prompts = advice_prompts(answered.select("user_id", "metric_name", "data_summary.*"))
     return answered.join(prompts.drop("data_summary"), ["user_id", "metric_name"], "left")

@@ -188,7 +188,7 @@ def test_command_line_jobs(spark, root, capsys, monkeypatch):
     def command(job, **options):
         defaults = {
             "root": root, "batch": False, "once": True, "every": None, "files": None,
-            "max_files": None, "out": None, "user": None, "metric": None,
+            "max_files": None, "out": None, "user": None, "metric": None, "as_of": None,
         }
         run(SimpleNamespace(job=job, **{**defaults, **options}))
         return capsys.readouterr().out
@@ -200,6 +200,8 @@ def test_command_line_jobs(spark, root, capsys, monkeypatch):
     command("summary", user="u1", metric="steps", out=f"{root}/answer")
     (answer,) = spark.read.json(f"{root}/answer").collect()
     assert answer["status"] == "no_recent_data"
+    shown = command("summary", user="u1", metric="steps", as_of="2026-01-02T13:00:00Z")
+    assert "|ok" in shown and "Metric steps of user u1" in shown
     with pytest.raises(SystemExit):
         command("silver", batch=True)
 
