@@ -50,9 +50,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     Executors on other machines must see what a job writes there, so without that
     setting only a local master gets a folder of its own.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         shared = tempfile.mkdtemp(prefix="pulsetide-")
     return os.path.join(shared, f"{name}-{uuid.uuid4().hex}")
