@@ -1,11 +1,17 @@
 """The queries of this package, and their SQL twins where SQL can say the same."""
 
-from pulsetide.llm import exact_dedup
+from pulsetide.llm import byte_bpe, exact_dedup, packing, topk_search, url_filters
 
 QUERIES = {
+    "op1_url_filters": url_filters.op1_url_filters,
+    "op4_byte_bpe": byte_bpe.op4_byte_bpe,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op9_topk_search": topk_search.op9_topk_search,
+    "op10_packing": packing.op10_packing,
 }
 
 ORACLES = {
+    "op1_url_filters": url_filters.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
+    "op9_topk_search": topk_search.ORACLE,
 }
