@@ -212,10 +212,10 @@ def op9_topk_search(spark, sf_dir):
 
 ORACLE = """
 WITH whole AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::double)) AS v
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) AS v
   FROM embeddings
   WHERE embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint AS score
   FROM whole q JOIN whole c ON q.vec_id <> c.vec_id
