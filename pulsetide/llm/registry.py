@@ -1,11 +1,20 @@
 """The queries of this package, and their SQL twins where SQL can say the same."""
 
-from pulsetide.llm import byte_bpe, exact_dedup, ngram_jaccard, packing, topk_search, url_filters
+from pulsetide.llm import (
+    byte_bpe,
+    exact_dedup,
+    language_id,
+    ngram_jaccard,
+    packing,
+    topk_search,
+    url_filters,
+)
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
     "op2_ngram_jaccard": ngram_jaccard.op2_ngram_jaccard,
     "op4_byte_bpe": byte_bpe.op4_byte_bpe,
+    "op5_language_id": language_id.op5_language_id,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op9_topk_search": topk_search.op9_topk_search,
     "op10_packing": packing.op10_packing,
