@@ -6,6 +6,7 @@ from pulsetide.llm import (
     language_id,
     ngram_jaccard,
     packing,
+    suffix_dedup,
     topk_search,
     url_filters,
 )
@@ -13,6 +14,7 @@ from pulsetide.llm import (
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
     "op2_ngram_jaccard": ngram_jaccard.op2_ngram_jaccard,
+    "op3_suffix_array_dedup": suffix_dedup.op3_suffix_array_dedup,
     "op4_byte_bpe": byte_bpe.op4_byte_bpe,
     "op5_language_id": language_id.op5_language_id,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
