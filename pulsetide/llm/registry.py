@@ -4,11 +4,13 @@ from pulsetide.llm import (
     byte_bpe,
     exact_dedup,
     language_id,
+    line_dedup,
     ngram_jaccard,
     packing,
     suffix_dedup,
     topk_search,
     url_filters,
+    warc_revisits,
 )
 
 QUERIES = {
@@ -18,6 +20,8 @@ QUERIES = {
     "op4_byte_bpe": byte_bpe.op4_byte_bpe,
     "op5_language_id": language_id.op5_language_id,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op7_warc_revisits": warc_revisits.op7_warc_revisits,
+    "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_topk_search": topk_search.op9_topk_search,
     "op10_packing": packing.op10_packing,
 }
@@ -26,5 +30,7 @@ ORACLES = {
     "op1_url_filters": url_filters.ORACLE,
     "op2_ngram_jaccard": ngram_jaccard.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
+    "op7_warc_revisits": warc_revisits.ORACLE,
+    "op8_line_dedup": line_dedup.ORACLE,
     "op9_topk_search": topk_search.ORACLE,
 }
