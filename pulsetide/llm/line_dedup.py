@@ -182,14 +182,15 @@ ORACLE = r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no
   FROM documents),
-firsts AS (SELECT line, min((doc_id, line_no)) AS first FROM lines WHERE regexp_matches(line, '\S') GROUP BY line),
+placed AS (SELECT *, row_number() OVER (ORDER BY doc_id, line_no) AS place FROM lines),
+firsts AS (SELECT line, min(place) AS first, length(line) AS n FROM placed WHERE regexp_matches(line, '\S') GROUP BY line),
 near AS (
-  SELECT DISTINCT x.line FROM firsts x JOIN firsts y
-    ON y.first < x.first AND abs(length(x.line) - length(y.line)) <= 2
-  WHERE length(x.line) >= 20 AND length(y.line) >= 20 AND levenshtein(x.line, y.line) <= 2),
+  SELECT DISTINCT x.line FROM (SELECT *, unnest([-2, -1, 0, 1, 2]) AS d FROM firsts WHERE n >= 20) x JOIN firsts y
+    ON y.n = x.n + x.d AND y.first < x.first
+  WHERE y.n >= 20 AND levenshtein(x.line, y.line) <= 2),
 dropped AS (
-  SELECT doc_id, list(line_no ORDER BY line_no) AS d FROM lines l JOIN firsts f USING (line)
-  WHERE (l.doc_id, l.line_no) <> f.first OR line IN (SELECT line FROM near) GROUP BY doc_id)
+  SELECT doc_id, list(line_no ORDER BY line_no) AS d FROM placed l JOIN firsts f USING (line)
+  WHERE l.place <> f.first OR line IN (SELECT line FROM near) GROUP BY doc_id)
 SELECT doc_id, coalesce(len(string_split(text, chr(10))), 0)::bigint AS n_lines, coalesce(len(d), 0)::bigint AS n_dropped,
   coalesce(array_to_string(d, ','), '') AS dropped_lines
 FROM documents LEFT JOIN dropped USING (doc_id)
