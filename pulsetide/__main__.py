@@ -28,12 +28,18 @@ def arguments() -> argparse.Namespace:
         metavar="KEY=VALUE",
         help="bronze: an option of the Kafka source, such as maxOffsetsPerTrigger=1000000",
     )
+    parser.add_argument(
+        "--packages",
+        action="append",
+        default=[],
+        help="bronze: more packages, such as an object-store connector; configured ones stay",
+    )
     parser.add_argument("--batch", action="store_true", help="gold: run once over all of silver")
     parser.add_argument("--out", default=None, help="another gold folder, or a report as JSON")
     parser.add_argument("--once", action="store_true", help="take what is there and stop")
     parser.add_argument("--every", default=None, help="trigger interval, such as '30 seconds'")
     parser.add_argument("--files", type=int, default=None, help="output tasks per batch")
-    parser.add_argument("--max-files", type=int, default=None, help="input files per trigger")
+    parser.add_argument("--max-files", type=int, default=None, help="input files per trigger, 0 for all; unsafe unless files are in event order")
     parser.add_argument("--user", default=None, help="summary: the user asked for")
     parser.add_argument("--as-of", default=None, help="summary: end of the look-back, ISO-8601")
     parser.add_argument("--metric", default=None, help="summary: the metric asked for")

@@ -50,7 +50,6 @@ WINDOW = "1 hour"
 WATERMARK = "15 minutes"
 LOOK_BACK_HOURS = 24
 TOPIC = "health-events"
-MAX_FILES_PER_TRIGGER = 10
 TRIGGERS = {"bronze": "30 seconds", "silver": "60 seconds", "gold": "60 seconds"}
 STREAM_NAMES = {
     "bronze": "bronze_health_events",

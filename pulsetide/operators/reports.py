@@ -37,10 +37,17 @@ def with_baseline(frame: DataFrame) -> DataFrame:
     return frame.withColumn("baseline", text)
 
 
-def advice_prompts(summary: DataFrame) -> DataFrame:
-    """One record per summary row: user, metric, ``data_summary`` and the prompt text."""
-    number = {name: formatted(F.col(name), "0.0#") for name in ("min", "max", "avg", "latest")}
-    prompt = F.concat(
+#: Stands for a number or trend that a table without time cannot have.
+UNKNOWN = "unknown"
+
+
+def prompt_text() -> Column:
+    """The prompt of a row with statistics and ``baseline``; never null for a named series."""
+    number = {
+        name: F.coalesce(formatted(F.col(name), "0.0#"), F.lit(UNKNOWN))
+        for name in ("min", "max", "avg", "latest")
+    }
+    return F.concat(
         F.lit("Metric "),
         F.col("metric_name"),
         F.lit(" of user "),
@@ -54,7 +61,7 @@ def advice_prompts(summary: DataFrame) -> DataFrame:
         F.lit("\nmost recent: "),
         number["latest"],
         F.lit("\ntrend: "),
-        F.col("trend"),
+        F.coalesce("trend", F.lit(UNKNOWN)),
         F.lit("\nhourly windows: "),
         F.col("window_count").cast("string"),
         F.lit("\nBaseline: "),
@@ -64,11 +71,15 @@ def advice_prompts(summary: DataFrame) -> DataFrame:
             "numbers. Give general wellness advice and no diagnosis."
         ),
     )
+
+
+def advice_prompts(summary: DataFrame) -> DataFrame:
+    """One record per summary row: user, metric, ``data_summary`` and the prompt text."""
     return with_baseline(summary).select(
         "user_id",
         "metric_name",
         F.struct(*STATISTICS).alias("data_summary"),
-        prompt.alias("prompt"),
+        prompt_text().alias("prompt"),
     )
 
 

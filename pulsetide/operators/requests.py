@@ -1,25 +1,22 @@
 """Requests: a table of (user, metric) questions answered with a summary or a reason."""
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsetide.model import METRICS, STATISTICS
-from pulsetide.operators.series import to_long, value_columns
-from pulsetide.operators.summary import summarise
+from pulsetide.model import METRIC_COLUMNS, METRICS, STATISTICS
+from pulsetide.operators.series import is_hourly, is_recent, to_long, value_columns
+from pulsetide.operators.summary import hourly_statistics, shown_statistics, summarise
 
 SUMMARY_TYPE = (
     "struct<min: double, max: double, avg: double, latest: double, trend: string, "
     "window_count: bigint>"
 )
 
-# Up to this many users are asked for by broadcast: their ids, and their answers (three
-# rows each, some twenty megabytes in all), go to every task.
-BROADCAST_USERS = 50_000
-
-# Beyond that, a user with more than one in HOT_USERS of all requests is hot. There are
-# fewer than HOT_USERS such users, and each is spread over SPREAD join keys.
+# A user with more than one in HOT_USERS of all requests is hot. There are fewer than
+# HOT_USERS such users, so their list is broadcast, and each is spread over SPREAD join keys.
 HOT_USERS = 1_000
 SPREAD = 64
 
@@ -44,8 +41,25 @@ def known_users(table: DataFrame) -> DataFrame:
 
 
 def answers(table: DataFrame, as_of: Column | datetime | str | None) -> DataFrame:
-    """One row per user of the table and metric, with the summary where there is one."""
+    """One row per user of the table and metric, with the summary where there is one.
+
+    An hourly table is read once: rows before the look-back lose their values and times, so
+    the partial aggregate leaves one of them per user and task, which says the user is known.
+    """
     statistics = F.struct(*STATISTICS).alias("data_summary")
+    if is_hourly(table):
+        now = is_recent(table, as_of)
+        masked = table.filter(F.col("user_id").isNotNull()).select(
+            "user_id",
+            *[F.when(now, F.col(c)).alias(c) for c in ("window_start", "window_end", *METRIC_COLUMNS.values())],
+        )
+        shown = shown_statistics(hourly_statistics(masked, METRICS, fold_first=True))
+        return shown.select(
+            "user_id",
+            "metric_name",
+            F.lit(True).alias("has_metric"),
+            F.when(F.col("window_count") > 0, statistics).alias("data_summary"),
+        )
     summaries = (
         summarise(table, as_of)
         .filter(F.col("metric_name").isin(*METRICS))
@@ -70,16 +84,16 @@ def answers(table: DataFrame, as_of: Column | datetime | str | None) -> DataFram
     )
 
 
-def join_spread(requests: DataFrame, total: int, found: DataFrame) -> DataFrame:
-    """Left join of ``total`` requests and answers, with hot users spread over many tasks.
+def join_spread(requests: DataFrame, found: DataFrame) -> DataFrame:
+    """Left join of requests and answers, with hot users spread over many tasks.
 
     Requests without a user match nothing; they are spread like a hot user's.
     """
-    hot = (
-        requests.groupBy("user_id")
-        .count()
-        .filter(F.col("count") > total / HOT_USERS)
-        .select("user_id", F.lit(True).alias("hot"))
+    counts = requests.groupBy("user_id").count()
+    # One row beside at most as many as there are users.
+    total = counts.agg(F.sum("count").alias("total"))
+    hot = counts.join(F.broadcast(total), F.col("count") > F.col("total") / HOT_USERS).select(
+        "user_id", F.lit(True).alias("hot")
     )
     # Row content and task, and not a random number: a repeated task gives the same parts.
     content = F.pmod(F.xxhash64(*requests.columns), F.lit(SPREAD))
@@ -102,29 +116,24 @@ def answer_requests(
     requests: DataFrame,
     table: DataFrame | None,
     as_of: Column | datetime | str | None = None,
+    users: Sequence[str] | None = None,
 ) -> DataFrame:
     """Each request with ``status`` and, where that is ``ok``, its ``data_summary``.
 
     Reasons are tested in this order: unknown metric, no table (``None``), unknown user,
     no row of the metric for the user, nothing in the look-back. Other columns of the
-    requests are kept. Requests and the users asked for are counted first, which decides
-    between a broadcast and a shuffle.
+    requests are kept. ``users`` are all users the requests name, where the caller knows
+    them: their ids then reach the Parquet reader. Requests and answers are shuffled with hot
+    users spread; adaptive execution broadcasts a side that turns out to be small.
     """
     valid = F.coalesce(F.col("metric_name").isin(*METRICS), F.lit(False))
     if table is None:
         return requests.withColumn(
             "status", F.when(valid, "no_gold_data").otherwise("invalid_metric")
         ).withColumn("data_summary", F.lit(None).cast(SUMMARY_TYPE))
-    total, users = requests.agg(
-        F.count("*"), F.count_distinct(F.when(valid, F.col("user_id")))
-    ).first()
-    if users <= BROADCAST_USERS:
-        wanted = requests.filter(valid).select("user_id").dropna().distinct()
-        asked = table.join(F.broadcast(wanted), "user_id", "left_semi")
-        found = F.broadcast(answers(asked, as_of))
-        joined = requests.join(found, ["user_id", "metric_name"], "left")
-    else:
-        joined = join_spread(requests, total, answers(table, as_of))
+    if users is not None:
+        table = table.filter(F.col("user_id").isin(*users))
+    joined = join_spread(requests, answers(table, as_of))
     status = (
         F.when(~valid, "invalid_metric")
         .when(F.col("has_metric").isNull(), "unknown_user")

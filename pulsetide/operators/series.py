@@ -71,7 +71,8 @@ def metric_rows(columns: dict[str, str]) -> Column:
 def to_long(frame: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
     """Every point of every series as (user_id, time, metric_name, value), nulls included.
 
-    Takes a wide table, a (metric_name, value) table, or the union of both.
+    Takes a wide table, a (metric_name, value) table, or the union of both. In a union, a
+    metric that has a column of its own is read from that column alone.
     """
     columns = value_columns(frame, metrics)
     time = time_column(frame)
@@ -102,6 +103,13 @@ def union_all(parts: Sequence[DataFrame]) -> DataFrame:
     return whole
 
 
+def is_recent(
+    frame: DataFrame, as_of: Column | datetime | str | None = None, hours: int = LOOK_BACK_HOURS
+) -> Column:
+    """Whether a row of a table with time is at most ``hours`` before ``as_of``."""
+    return event_time(time_column(frame)) >= instant(as_of) - F.expr(f"INTERVAL {hours} HOURS")
+
+
 def recent(
     frame: DataFrame,
     as_of: Column | datetime | str | None = None,
@@ -113,11 +121,10 @@ def recent(
     partitions are pruned too: a window starts one hour before it ends, and one more
     day covers a layer written in another zone than this session's.
     """
-    time = time_column(frame)
-    if time is None:
+    if time_column(frame) is None:
         return frame
     now = instant(as_of)
-    kept = frame.filter(event_time(time) >= now - F.expr(f"INTERVAL {hours} HOURS"))
+    kept = frame.filter(is_recent(frame, as_of, hours))
     if is_hourly(frame) and dict(frame.dtypes).get("date") == "date":
         earliest = F.to_date(now - F.expr(f"INTERVAL {hours + 1} HOURS"))
         kept = kept.filter(F.col("date") >= F.date_sub(earliest, 1))

@@ -2,9 +2,8 @@
 
 Two plans give the same result; the table's layout decides between them.
 
-* **Hourly table.** Equal copies of a row are folded into one row with a count before
-  anything is gathered per user. What is left per user is one row per window: its size
-  follows the calendar, not the number of events. One shuffle by user then serves the
+* **Hourly table.** A user has one row per window, so their size follows the calendar, not
+  the number of events. One shuffle by user serves folding equal copies of a row, the
   ordering and the aggregates of all metrics.
 * **Table of any resolution.** One user may hold a third of all points, so points are
   aggregated per second first, and only those seconds are put in order per series. A
@@ -59,21 +58,34 @@ def fold_windows(gold: DataFrame, values: Sequence[str]) -> DataFrame:
     return gold.groupBy("user_id", time, *values).agg(F.count("*").alias("copies"))
 
 
-def hourly_statistics(gold: DataFrame, metrics: Sequence[str]) -> DataFrame:
-    """Statistics per series of a table with one row per user and window."""
+def hourly_statistics(
+    gold: DataFrame, metrics: Sequence[str], fold_first: bool = False
+) -> DataFrame:
+    """Statistics per series of a table with one row per user and window.
+
+    One shuffle by user serves folding, ordering and aggregating. ``fold_first`` folds before
+    it, in a shuffle of its own, for tables in which equal rows may repeat without limit; it
+    also gives users without any value their rows, with a count of zero.
+    """
     columns = value_columns(gold, metrics)
-    folded = fold_windows(gold, list(columns.values()))
-    # The generator after this shuffle keeps it, so the window and the groupBy need none.
-    points = (
-        folded.repartition("user_id")
-        .select("user_id", "time", "copies", metric_rows(columns))
-        .filter(present(F.col("value")))
-    )
+    dealt = gold if fold_first else gold.repartition("user_id")
+    folded = fold_windows(dealt, list(columns.values()))
+    if fold_first:
+        folded = folded.repartition("user_id")
+    # The generator keeps the partitioning, so the window and the groupBy need no shuffle.
+    points = folded.select("user_id", "time", "copies", metric_rows(columns))
+    there = present(F.col("value"))
+    if fold_first:
+        points = points.withColumns(
+            {"copies": F.when(there, F.col("copies")).otherwise(0), "value": F.when(there, F.col("value"))}
+        )
+    else:
+        points = points.filter(there)
     in_order = Window.partitionBy(*SERIES).orderBy("time", "value")
     placed = points.select(
         "*",
         clip(first_half(in_order) - points_before(in_order), F.col("copies")).alias("first_copies"),
-        F.last("value").over(whole_series(in_order)).alias("last_value"),
+        F.last("value", ignorenulls=True).over(whole_series(in_order)).alias("last_value"),
     )
     return placed.groupBy(*SERIES).agg(
         F.min("value").alias("min"),
@@ -125,14 +137,18 @@ def points_by_second(points: DataFrame) -> DataFrame:
     return (
         points.withColumn("slot", F.date_trunc("second", "time"))
         .filter(F.col("slot").isNotNull())
+        .repartition(*SLOT)
         .groupBy(*SLOT, "time", "value")
         .agg(F.count("*").alias("copies"))
-        .repartition(*SLOT)
     )
 
 
 def point_statistics(points: DataFrame) -> DataFrame:
-    """Statistics per series of points of any resolution, safe for a very long series."""
+    """Statistics per series of points of any resolution, safe for a very long series.
+
+    The seconds of one series are ordered in one task: 86,400 for a day, 31 million for a year.
+    Total by hour before a look-back of years.
+    """
     # Shared by the two branches below: Spark runs its shuffles once.
     by_slot = points_by_second(points)
     slots = by_slot.groupBy(*SLOT).agg(
@@ -197,17 +213,22 @@ def summarise(
         points = to_long(kept, metrics).filter(present(F.col("value")))
         points = points.filter(F.col("metric_name").isNotNull())
         statistics = point_statistics(points) if ordered else unordered_statistics(points)
+    return shown_statistics(statistics, ordered, rounded)
+
+
+def shown_statistics(statistics: DataFrame, ordered: bool = True, rounded: bool = True) -> DataFrame:
+    """The summary of every series from its totals; without a point the numbers are null."""
     count = F.col("window_count")
     half = F.floor(count / 2)
     # A series of one point has an empty earlier half.
     first_mean = F.col("first_total") / F.greatest(half, F.lit(1))
-    second_mean = F.col("second_total") / (count - half)
+    second_mean = F.col("second_total") / F.greatest(count - half, F.lit(1))
     shown = round_half_even if rounded else (lambda value: value)
     return statistics.select(
         *SERIES,
         shown(F.col("min")).alias("min"),
         shown(F.col("max")).alias("max"),
-        shown(F.col("total") / count).alias("avg"),
+        shown(F.col("total") / F.greatest(count, F.lit(1))).alias("avg"),
         shown(F.col("latest")).alias("latest"),
         F.when(F.lit(ordered), trend(count, first_mean, second_mean)).alias("trend"),
         count.alias("window_count"),

@@ -1,6 +1,14 @@
 """The registered queries as DuckDB SQL over the same sample tables."""
 
-from pulsetide.model import BASELINES, NO_BASELINE
+# Written out, and not taken from the code they check.
+BASELINES = {
+    "heart_rate": "Normal resting heart rate: 60-100 bpm. Below 60 may indicate bradycardia; "
+    "above 100 may indicate tachycardia.",
+    "spo2": "Normal SpO2: 95-100%. Below 95% may indicate hypoxemia and warrants medical "
+    "attention.",
+    "steps": "Recommended daily steps: 8,000-10,000. Fewer than 5,000 is considered sedentary.",
+}
+NO_BASELINE = "No specific baseline available."
 
 READINGS = """
 readings as (
@@ -257,3 +265,7 @@ ORACLES = {
         union all select 'silver', count(*) from silver
         union all select 'gold', count(*) from gold""",
 }
+
+ORACLES["three_layer_stream"] = ORACLES["gold_hourly_stream"]
+ORACLES["recent_windows_layer"] = ORACLES["recent_windows"]
+ORACLES["user_summary"] = ORACLES["answer_requests"] + "\n        where r.user_id = 'user_0007'"

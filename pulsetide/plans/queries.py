@@ -25,6 +25,7 @@ from pulsetide.sinks.kafka import encode_events
 from pulsetide.sinks.layers import append_stream, overwrite_layer
 from pulsetide.sources.events import kafka_records, readings, summary_requests
 from pulsetide.sources.layers import read_layer, stream_layer
+from pulsetide.streaming.jobs import start_bronze, start_gold, start_silver
 
 # The sample events end in January 2024, so "now" is the end of that month's last full day.
 AS_OF = "2024-01-31T00:00:00Z"
@@ -97,15 +98,43 @@ def gold_hourly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver_path = scratch_path(spark, "silver")
     gold_path = scratch_path(spark, "gold-stream")
     overwrite_layer(silver(spark, sf_dir), silver_path)
-    # One batch over all files: they are not in time order, so a second batch could
-    # find rows behind the watermark of the first.
-    stream = hourly(stream_layer(spark, silver_path, SILVER, max_files=None), WATERMARK)
+    stream = hourly(stream_layer(spark, silver_path, SILVER), WATERMARK)
     append_stream(
         stream, gold_path, scratch_path(spark, "checkpoint"), STREAM_NAMES["gold"]
     ).awaitTermination()
     return plain_times(read_layer(spark, gold_path, GOLD))
 
 
+def three_layer_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backlog of broker records, in more files than there are cores, through all layers."""
+    root = scratch_path(spark, "layers")
+    files = 2 * spark.sparkContext.defaultParallelism
+    records = kafka_records(table(spark, sf_dir, "events"))
+    records.repartition(files, "offset").write.parquet(f"{root}/topic")
+    start_bronze(spark.readStream.schema(records.schema).parquet(f"{root}/topic"), root).awaitTermination()
+    start_silver(spark, root).awaitTermination()
+    start_gold(spark, root).awaitTermination()
+    return plain_times(read_layer(spark, f"{root}/gold", GOLD))
+
+
+def gold_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold written as a layer and read back."""
+    path = scratch_path(spark, "gold-layer")
+    overwrite_layer(gold(spark, sf_dir), path, ("user_id", "window_start"))
+    return read_layer(spark, path)
+
+
+def recent_windows_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain_times(recent(gold_layer(spark, sf_dir), AS_OF))
+
+
+def user_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layer = gold_layer(spark, sf_dir)
+    asked = requests(spark, sf_dir).filter(F.col("user_id") == HISTORY_USER)
+    answered = answer_requests(asked, layer, AS_OF, users=[HISTORY_USER])
+    return answered.select("request_id", "user_id", "metric_name", "status", "data_summary.*")
+
+
 def gold_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_times(to_long(gold(spark, sf_dir)))
 
@@ -204,6 +233,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "event_encode": event_encode,
     "gold_batch_roundtrip": gold_batch_roundtrip,
     "gold_hourly_stream": gold_hourly_stream,
+    "three_layer_stream": three_layer_stream,
+    "recent_windows_layer": recent_windows_layer,
+    "user_summary": user_summary,
     "gold_long": gold_long,
     "gold_union": gold_union,
     "recent_windows": recent_windows,

@@ -1,8 +1,9 @@
 """Session set-up, and the shared folder for tables a job writes for itself."""
 
 import os
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -13,6 +14,8 @@ SETTINGS = {
     # Text times without a zone, and the gold date, are read in this zone.
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Readers skip row groups by these; the older 96-bit form has no statistics.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # Shuffle width and hot join keys are settled at run time.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -38,8 +41,20 @@ def session(app_name: str, master: str | None = None, **settings: str) -> SparkS
     return builder.getOrCreate()
 
 
+@contextmanager
+def timestamps_in_micros(spark: SparkSession) -> Iterator[None]:
+    """Writers started here store timestamps as micros, whoever built the session."""
+    key = "spark.sql.parquet.outputTimestampType"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "TIMESTAMP_MICROS")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
-    """Pin the zone on a session somebody else built."""
+    """Pin the zone on a session somebody else built; it stays pinned for all its queries."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
@@ -47,13 +62,12 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared folder of ``spark.checkpoint.dir``.
 
-    Executors on other machines must see what a job writes there, so without that
-    setting only a local master gets a folder of its own.
+    Executors on other machines must see what a job writes there. Without that setting it is
+    below the warehouse, which all of a cluster share too. Results are read from these folders
+    after the job has returned, so their owner removes them, as with checkpoints.
+    (Spark Connect has no ``sparkContext``; there, set ``spark.checkpoint.dir``.)
     """
-    context = spark.sparkContext
-    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="pulsetide-")
+        shared = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "scratch")
     return os.path.join(shared, f"{name}-{uuid.uuid4().hex}")

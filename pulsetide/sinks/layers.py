@@ -4,6 +4,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from pulsetide.session import timestamps_in_micros
+
 STREAM_LOG = "_spark_metadata"
 
 
@@ -14,14 +16,20 @@ def append_stream(
     name: str,
     every: str | None = None,
     files: int | None = None,
+    date_files: int | None = None,
 ) -> StreamingQuery:
     """Start appending a stream to a layer.
 
     ``every`` is the trigger interval; without it the query takes what is there and
     stops. ``files`` coalesces each batch into that many tasks, which suits small
-    streams only, so it is off by default.
+    streams only, so it is off by default. ``date_files`` deals each batch by date and that
+    many parts of it: then a batch writes so many files per date at most, and not one per
+    task and date, while a date with most of the rows is still written by several tasks.
     """
     out = frame if files is None else frame.coalesce(files)
+    if date_files is not None:
+        part = F.pmod(F.xxhash64(*frame.columns), F.lit(date_files)).alias("__part")
+        out = frame.select("*", part).repartition("date", "__part").drop("__part")
     writer = (
         out.writeStream.format("parquet")
         .outputMode("append")
@@ -30,13 +38,15 @@ def append_stream(
         .partitionBy("date")
         .queryName(name)
     )
-    if every:
-        return writer.trigger(processingTime=every).start()
-    return writer.trigger(availableNow=True).start()
+    with timestamps_in_micros(frame.sparkSession):
+        if every:
+            return writer.trigger(processingTime=every).start()
+        return writer.trigger(availableNow=True).start()
 
 
 def is_stream_output(spark: SparkSession, path: str) -> bool:
-    """Whether a streaming sink keeps its commit log in the folder."""
+    """Whether a streaming sink keeps its commit log in the folder (asks the JVM's file system,
+    which Spark Connect lacks)."""
     log = spark._jvm.org.apache.hadoop.fs.Path(path, STREAM_LOG)
     return log.getFileSystem(spark._jsc.hadoopConfiguration()).exists(log)
 
@@ -52,7 +62,9 @@ def overwrite_layer(
 
     ``cluster_by`` range-partitions the rows by date and these columns: files hold narrow
     ranges, so a lookup skips most of them, and a date with a third of all rows is spread
-    over many tasks. Without it rows are written where they are, with no shuffle.
+    over many tasks. Without it rows are rebalanced by date: adaptive execution splits a
+    large date and merges small ones, so the files of a date follow its bytes and not the
+    number of tasks that read the input.
     A folder a stream writes to is refused: overwriting would delete its commit log.
     """
     spark = frame.sparkSession
@@ -62,9 +74,12 @@ def overwrite_layer(
     if cluster_by:
         keys = ["date", *cluster_by]
         out = out.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    elif files is None:
+        out = out.hint("rebalance", "date")
     if files is not None:
         out = out.coalesce(files)
     written = Observation()
     out = out.observe(written, F.count("*").alias("rows"))
-    out.write.mode("overwrite").option("compression", codec).partitionBy("date").parquet(path)
+    with timestamps_in_micros(spark):
+        out.write.mode("overwrite").option("compression", codec).partitionBy("date").parquet(path)
     return written.get["rows"]

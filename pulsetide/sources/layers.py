@@ -4,8 +4,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from pulsetide.model import MAX_FILES_PER_TRIGGER
-
 # Conditions Spark reports for a missing folder, a folder without files, and the folder
 # of a stream that has written none yet.
 NO_FILES = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "_LEGACY_ERROR_TEMP_1134")
@@ -48,11 +46,13 @@ def stream_layer(
     spark: SparkSession,
     path: str,
     schema: StructType,
-    max_files: int | None = MAX_FILES_PER_TRIGGER,
+    max_files: int | None = None,
 ) -> DataFrame:
-    """A layer as a stream; ``max_files=None`` takes all waiting files in one batch.
+    """A layer as a stream; a batch takes all waiting files, or ``max_files`` of them.
 
-    Raise the limit with the size of the layer: it bounds the throughput of a trigger.
+    A limit is unsafe before a watermark unless the files are in the order of their events:
+    the files of one batch may push the watermark past rows in files that still wait. To
+    bound a batch, limit what the first step reads from the broker.
     """
     reader = spark.readStream.schema(schema)
     if max_files is not None:

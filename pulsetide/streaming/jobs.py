@@ -7,7 +7,7 @@ and stops, for backfills and tests; a time keeps the query running.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from pulsetide.model import BRONZE, MAX_FILES_PER_TRIGGER, SILVER, STREAM_NAMES, WATERMARK
+from pulsetide.model import BRONZE, SILVER, STREAM_NAMES, WATERMARK
 from pulsetide.operators.bronze import to_bronze
 from pulsetide.operators.gold import hourly
 from pulsetide.operators.silver import to_silver
@@ -51,7 +51,7 @@ def start_silver(
     root: str,
     every: str | None = None,
     files: int | None = None,
-    max_files: int | None = MAX_FILES_PER_TRIGGER,
+    max_files: int | None = None,
 ) -> StreamingQuery:
     """Bronze to silver."""
     bronze = stream_layer(spark, layer_path(root, "bronze"), BRONZE, max_files)
@@ -63,11 +63,12 @@ def start_gold(
     root: str,
     every: str | None = None,
     files: int | None = None,
-    max_files: int | None = MAX_FILES_PER_TRIGGER,
+    max_files: int | None = None,
     watermark: str = WATERMARK,
 ) -> StreamingQuery:
     """Silver to gold: a window is written once, when the watermark has passed its end.
 
+    ``max_files`` is for silver files in the order of their events (see ``stream_layer``).
     The number of state partitions is ``spark.sql.shuffle.partitions`` at the first
     start and stays with the checkpoint; choose it for the widest hour to come.
     """

@@ -1,12 +1,15 @@
 """Requests answered with a summary or a reason."""
 
 import pytest
-from conftest import final_plan, rows
+from conftest import final_plan, plan, rows
+from pyspark.sql import functions as F
 from test_summary import AS_OF, points, wide
 
 from pulsetide.operators import requests as module
 from pulsetide.operators.requests import answer_requests
 from pulsetide.operators.series import available_users
+from pulsetide.sinks.layers import overwrite_layer
+from pulsetide.sources.layers import read_layer
 
 
 def asked(spark, *pairs):
@@ -90,17 +93,31 @@ def test_other_columns_and_repeated_requests_are_kept(spark, table):
     assert rows(answered, "id", "status") == [(n, "ok") for n in range(3)]
 
 
-def test_many_users_take_the_way_without_broadcast(spark, table, monkeypatch):
-    pairs = [("u1", "heart_rate"), ("nobody", "steps"), ("old", "steps"), ("u1", "glucose")]
-    few = statuses(spark, table, *pairs)
-    monkeypatch.setattr(module, "BROADCAST_USERS", 1)
-    assert statuses(spark, table, *pairs) == few
+def test_one_scan_of_gold_and_two_of_requests(spark, tmp_path):
+    overwrite_layer(wide(spark, [(f"u{n}", 1, 70.0, 97.0, n) for n in range(20)]).withColumn(
+        "date", F.to_date("window_start")), str(tmp_path / "gold"))
+    spark.range(50).selectExpr("concat('u', id) AS user_id", "'steps' AS metric_name").write.parquet(
+        str(tmp_path / "requests"))
+    requests = spark.read.parquet(str(tmp_path / "requests"))
+    text = final_plan(answer_requests(requests, read_layer(spark, str(tmp_path / "gold")), AS_OF))
+    scans = [line for line in text.splitlines() if "FileScan parquet" in line]
+    assert sum("/gold" in line for line in scans) == 1
+    assert sum("/requests" in line for line in scans) <= 2
+
+
+def test_named_users_reach_the_reader(spark, tmp_path):
+    overwrite_layer(wide(spark, [(f"u{n}", 1, 70.0, 97.0, n) for n in range(20)]).withColumn(
+        "date", F.to_date("window_start")), str(tmp_path / "gold"))
+    request = spark.createDataFrame([("u3", "steps")], "user_id string, metric_name string")
+    answered = answer_requests(request, read_layer(spark, str(tmp_path / "gold")), AS_OF, users=["u3"])
+    assert [row.status for row in answered.collect()] == ["ok"]
+    scans = [line for line in plan(answered).splitlines() if "FileScan parquet" in line]
+    assert scans and all("EqualTo(user_id,u3)" in line for line in scans)
 
 
 def test_hot_user_is_spread_and_no_request_is_lost(spark, setting, monkeypatch):
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
     setting("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    monkeypatch.setattr(module, "BROADCAST_USERS", 1)
     monkeypatch.setattr(module, "HOT_USERS", 10)
     table = wide(spark, [(f"u{n}", 1, 70.0, 97.0, n) for n in range(200)])
     # A third of all requests for one user, another third for none.
@@ -128,7 +145,7 @@ def test_parts_of_a_hot_user_are_even(spark, monkeypatch):
     found = spark.createDataFrame(
         [("u7", "steps", True)], "user_id string, metric_name string, has_metric boolean"
     )
-    parts = module.join_spread(requests, 6400, found).groupBy("part").count()
+    parts = module.join_spread(requests, found).groupBy("part").count()
     counts = [count for _, count in rows(parts)]
     assert len(counts) == module.SPREAD and sum(counts) == 6400 and max(counts) < 200
 

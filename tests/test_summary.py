@@ -275,9 +275,9 @@ def test_tables_without_values_are_refused(spark):
 # --- Plans -----------------------------------------------------------------------
 
 
-def test_hourly_plan_shuffles_copies_away_and_then_by_user(spark):
+def test_hourly_plan_shuffles_once_by_user(spark):
     text = final_plan(summarise(wide(spark, random_hours(1)), AS_OF))
-    assert text.count("Exchange hashpartitioning") == 2
+    assert text.count("Exchange hashpartitioning") == 1
     assert text.count("Window [") == 1
     assert "Python" not in text
 
