@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -258,6 +259,12 @@ def possible_starts(raw: np.ndarray, repeated: np.ndarray, width: int) -> np.nda
     return np.flatnonzero(known[place] == least)
 
 
+def stretches(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted starts as first starts and counts of runs without a gap."""
+    new = np.flatnonzero(np.append(True, starts[1:] > starts[:-1] + 1))
+    return starts[new], np.diff(np.append(new, len(starts)))
+
+
 def covered(starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """First and end of the maximal stretches that the strings from sorted starts cover."""
     if not len(starts):
@@ -276,19 +283,21 @@ def _shards(width: int):
         def out():
             nonlocal made, held, covers, size
             owners, texts, starts = zip(*held)
+            runs = [stretches(x) for x in starts]
             row = [
                 [(task << 32) + made],
                 [np.array(owners, np.int64).tobytes()],
                 [np.array([len(x) for x in texts], np.int64).tobytes()],
-                [b"".join(texts)],
-                [np.array([len(x) for x in starts], np.int64).tobytes()],
-                [np.concatenate(starts).astype(np.int32).tobytes()],
+                [zstandard.compress(b"".join(texts), 1)],
+                [np.array([len(x) for x, _ in runs], np.int64).tobytes()],
+                [np.concatenate([x for x, _ in runs]).astype(np.int32).tobytes()],
+                [np.concatenate([n for _, n in runs]).astype(np.int32).tobytes()],
             ]
             made, held, covers, size = made + 1, [], 0, 0
-            types = [pa.int64()] + [pa.binary()] * 5
+            types = [pa.int64()] + [pa.binary()] * 6
             return pa.RecordBatch.from_arrays(
                 [pa.array(x, t) for x, t in zip(row, types)],
-                ["shard", "owners", "lengths", "texts", "counts", "starts"],
+                ["shard", "owners", "lengths", "texts", "counts", "firsts", "sizes"],
             )
 
         for batch in batches:
@@ -316,10 +325,12 @@ class Shard:
     def __init__(self, row: dict, width: int):
         self.owners = np.frombuffer(row["owners"], np.int64)
         self.lengths = np.frombuffer(row["lengths"], np.int64)
-        self.texts = np.frombuffer(row["texts"], np.uint8)
-        self.counts = np.frombuffer(row["counts"], np.int64)
+        self.texts = np.frombuffer(zstandard.decompress(row["texts"]), np.uint8)
+        runs = np.frombuffer(row["counts"], np.int64)
         base = np.cumsum(self.lengths) - self.lengths
-        self.starts = np.frombuffer(row["starts"], np.int32) + np.repeat(base, self.counts)
+        sizes = np.frombuffer(row["sizes"], np.int32).astype(np.int64)
+        self.starts = ragged(np.frombuffer(row["firsts"], np.int32) + np.repeat(base, runs), sizes)
+        self.counts = np.add.reduceat(sizes, np.cumsum(runs) - runs)
         self.base = base
         # Strings of two texts that follow each other never cover one stretch.
         split = np.repeat(np.arange(len(base)), self.counts) * (width + 1)
@@ -474,7 +485,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, text: str = "text", carr
         .select("owner", "places", "body")
         .dropDuplicates(["owner"])
         .mapInArrow(
-            _shards(width), "shard long, owners binary, lengths binary, texts binary, counts binary, starts binary"
+            _shards(width), "shard long, owners binary, lengths binary, texts binary, counts binary, firsts binary, sizes binary"
         ),
         "shards",
     )
