@@ -15,12 +15,11 @@ connected are not compared. Pairs that survive are verified on the texts themsel
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsetide.llm.common import blocks, partitions, table, text_buffers, written
+from pulsetide.llm.common import blocks, partitions, ragged, table, text_buffers, written
 from pulsetide.llm.components import components
 from pulsetide.llm.shingles import digest, mix, shingle_sets
 
@@ -33,8 +32,9 @@ FREQUENT_SHARE, FREQUENT_MOST = 1024, 100_000
 #: Nodes of a group that one task compares at once, and entries of an R-tree node.
 UNIT, FANOUT = 1024, 16
 
-#: Rounds that link nodes to one node of their group before all remaining pairs are tried.
-ROUNDS = 2
+#: Rounds that link nodes to one node of their group before all remaining pairs are tried. They
+#: only save work.
+ROUNDS = 4
 
 #: Hash groups of the points: powers of two between these.
 LEAST_GROUPS, MOST_GROUPS = 64, 4096
@@ -57,16 +57,20 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def point(shingles: np.ndarray) -> np.ndarray:
-    """Counts of the shingles by hash group; the number of groups follows the size."""
+    """Counts of the shingles by hash group, as bytes; the number of groups follows the size.
+
+    A count that no byte can hold makes all counts the largest, which bounds nothing away.
+    """
     groups = LEAST_GROUPS
-    while groups < MOST_GROUPS and groups * 4 < len(shingles):
+    while groups < MOST_GROUPS and groups < len(shingles):
         groups *= 2
-    return np.bincount((shingles >> np.uint64(64 - 12)).astype(np.int64) * groups >> 12, minlength=groups)
+    counts = np.bincount((shingles >> np.uint64(64 - 12)).astype(np.int64) * groups >> 12, minlength=groups)
+    return (counts if counts.max() < 256 else np.full(groups, 255)).astype(np.uint8)
 
 
 def folded(points: np.ndarray, groups: int) -> np.ndarray:
     """The same points by fewer, larger hash groups."""
-    return points.reshape(len(points), groups, -1).sum(axis=2)
+    return points.reshape(len(points), groups, -1).sum(axis=2, dtype=np.uint16)
 
 
 class Tree:
@@ -94,7 +98,7 @@ def tree_pairs(left: Tree, right: Tree, percent: int) -> np.ndarray:
         width = sides[0][0].shape[1]
         for chunk in np.array_split(pairs, max(1, len(pairs) * width // (1 << 20))):
             (a, na), (b, nb) = [(boxes[chunk[:, s]], least[chunk[:, s]]) for s, (boxes, least) in enumerate(sides)]
-            most = np.minimum(a, b).sum(axis=1)
+            most = np.minimum(a, b).sum(axis=1, dtype=np.int64)
             kept.append(chunk[(100 + percent) * most >= percent * (na + nb)])
         pairs = np.concatenate(kept)
         if level and len(pairs):
@@ -248,7 +252,7 @@ def _texts(words: int):
                 if digest(one) == nodes[i]:
                     kept.append(i)
                     sizes.append(len(one))
-                    points.append(point(one).astype(np.uint16).tobytes())
+                    points.append(point(one).tobytes())
             some = batch.take(pa.array(kept, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [some.column("node"), some.column("text"), pa.array(sizes, pa.int64()), pa.array(points, pa.binary())],
@@ -279,32 +283,97 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     )
 
 
+def _leaf_pairs(rows: dict, first: np.ndarray, end: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs of rows inside small units, one leaf each, that the points let pass."""
+    at = ragged(first, end - first)
+    last = np.repeat(end, end - first)
+    p = np.repeat(at, last - at - 1)
+    q = ragged(at + 1, last - at - 1)
+    two_sided = np.repeat([rows["side"][a:b].any() for a, b in zip(first, end)], end - first)
+    crossing = np.repeat(two_sided, last - at - 1)
+    size, width = rows["size"], rows["width"]
+    fits = 100 * np.minimum(size[p], size[q]) >= percent * np.maximum(size[p], size[q])
+    fits &= (rows["label"][p] != rows["label"][q]) & (~crossing | (rows["side"][p] != rows["side"][q]))
+    p, q = p[fits], q[fits]
+    p, q = np.where(width[p] <= width[q], p, q), np.where(width[p] <= width[q], q, p)
+    out = [np.zeros((0, 2), np.int64)]
+    for groups in np.unique(width[p]):
+        for other in (groups, 2 * groups):
+            some = np.flatnonzero((width[p] == groups) & (width[q] == other))
+            for part in np.array_split(some, max(1, len(some) * groups >> 22)):
+                a = rows["points"][groups][rows["nth"][p[part]]]
+                b = folded(rows["points"][other][rows["nth"][q[part]]], groups) if len(part) else a
+                most = np.minimum(a, b).sum(axis=1, dtype=np.int64)
+                ok = (100 + percent) * most >= percent * (size[p[part]] + size[q[part]])
+                out.append(np.stack([p[part][ok], q[part][ok]], axis=1))
+    return np.concatenate(out)
+
+
+def _tree_unit(rows: dict, first: int, end: int, percent: int) -> np.ndarray:
+    """Pairs of rows of one large unit that its trees let pass."""
+    index = np.arange(first, end)
+    index = index[np.lexsort((rows["size"][index], rows["label"][index]))]
+    side, width = rows["side"][index], rows["width"][index]
+    right_side = 1 if side.any() else 0
+    out = [np.zeros((0, 2), np.int64)]
+    tree = lambda some, groups: Tree(
+        folded(rows["points"][rows["width"][some[0]]][rows["nth"][some]], groups), rows["size"][some]
+    )
+    for ga in np.unique(width[side == 0]):
+        for gb in np.unique(width[side == right_side]):
+            # Sizes that may link differ by less than two, so their groups are next to each other.
+            if (not right_side and gb > ga) or max(ga, gb) > 2 * min(ga, gb):
+                continue
+            left, right = index[(side == 0) & (width == ga)], index[(side == right_side) & (width == gb)]
+            groups = min(ga, gb)
+            pairs = tree_pairs(tree(left, groups), tree(right, groups), percent)
+            pairs = np.stack([left[pairs[:, 0]], right[pairs[:, 1]]], axis=1)
+            out.append(pairs[rows["label"][pairs[:, 0]] != rows["label"][pairs[:, 1]]])
+    return np.concatenate(out)
+
+
 def _unit_pairs(percent: int):
-    """One unit of a group, two sides of points, to pairs of nodes that may link."""
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        sides = {}
-        for (side, groups), some in rows.groupby(["side", rows.point.str.len() // 2]):
-            some = some.sort_values(["label", "size"], kind="stable")
-            points = np.frombuffer(b"".join(some.point), np.uint16).reshape(len(some), groups)
-            sides.setdefault(side, {})[groups] = (some, points.astype(np.int32))
-        lefts, rights = sides.get(0, {}), sides.get(1, sides.get(0, {}))
-        for ga, (left, a) in lefts.items():
-            for gb, (right, b) in rights.items():
-                # Sizes that may link differ by less than two, so their groups are next to each other.
-                if (1 not in sides and gb > ga) or max(ga, gb) > 2 * min(ga, gb):
-                    continue
-                groups = min(ga, gb)
-                trees = [
-                    Tree(folded(p, groups), s["size"].to_numpy()) for s, p in ((left, a), (right, b))
-                ]
-                pairs = tree_pairs(*trees, percent)
-                x, y = left.node.to_numpy()[pairs[:, 0]], right.node.to_numpy()[pairs[:, 1]]
-                apart = left.label.to_numpy()[pairs[:, 0]] != right.label.to_numpy()[pairs[:, 1]]
-                out.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1)[apart])
-        pairs = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *out]), axis=0)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+    """Sorted units of groups to pairs of nodes that may link; many small ones at once."""
+    keys = ["leader", "kind", "i", "j"]
+
+    def found(batch: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
+        rows = {c: batch.column(c).to_numpy() for c in ("node", "label", "side", "size")}
+        raw, offsets = text_buffers(batch.column("point"))
+        rows["width"] = np.diff(offsets)
+        rows["nth"], rows["points"] = np.zeros(len(batch), np.int64), {}
+        for groups in np.unique(rows["width"]).tolist():
+            some = np.flatnonzero(rows["width"] == groups)
+            rows["nth"][some] = np.arange(len(some))
+            rows["points"][groups] = raw[ragged(offsets[some], np.full(len(some), groups))].reshape(-1, groups)
+        ends = np.append(starts[1:], len(batch))
+        small = ends - starts <= FANOUT
+        out = [_leaf_pairs(rows, starts[small], ends[small], percent)]
+        out += [_tree_unit(rows, a, b, percent) for a, b in zip(starts[~small], ends[~small])]
+        pairs = np.sort(rows["node"][np.concatenate(out)], axis=1)
+        pairs = np.unique(pairs, axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            batch = pa.Table.from_batches([batch])
+            held = batch if held is None else pa.concat_tables([held, batch])
+            starts = unit_starts(held)
+            if len(starts) > 1:  # the last unit may go on in the next batch
+                yield found(held.slice(0, starts[-1]).combine_chunks(), starts[:-1])
+                held = held.slice(starts[-1])
+        if held is not None and len(held):
+            yield found(held.combine_chunks(), unit_starts(held))
+
+    def unit_starts(rows: pa.Table) -> np.ndarray:
+        new = np.zeros(len(rows), bool)
+        new[:1] = True
+        for key in keys:
+            values = rows.column(key).to_numpy()
+            new[1:] |= values[1:] != values[:-1]
+        return np.flatnonzero(new)
 
     return run
 
@@ -354,8 +423,9 @@ def _remaining(groups: DataFrame, labels: DataFrame, texts: DataFrame, percent:
     points = texts.select("node", "size", "point")
     return (
         dealt.join(points, "node")
-        .groupBy("leader", "kind", "i", "j")
-        .applyInPandas(_unit_pairs(percent), "a long, b long")
+        .repartition(partitions(texts.sparkSession), "leader", "kind", "i", "j")
+        .sortWithinPartitions("leader", "kind", "i", "j")
+        .mapInArrow(_unit_pairs(percent), "a long, b long")
         .distinct()
     )
 
@@ -434,9 +504,10 @@ def jaccard_components(
     groups = written(groups, "groups-alive")
     labels, links = spark.createDataFrame([], "node long, label long"), None
     for turn in range(ROUNDS):
-        found = written(verified(_to_leaders(groups, labels, turn), texts, words, percent), "to-leaders")
+        pairs = _bounded(_to_pivots(groups, labels, turn), texts, percent)
+        found = written(verified(pairs, texts, words, percent), "to-pivots")
         links = found if links is None else links.union(found)
-        labels = components(links).withColumnRenamed("component", "label")
+        labels = _relabelled(labels, found, turn)
     rest = written(
         verified(_remaining(groups, labels, texts, percent), texts, words, percent), "rest"
     )
@@ -454,23 +525,66 @@ def jaccard_components(
     )
 
 
-def _to_leaders(groups: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
-    """A candidate for each node: the leader, or later the smallest node with another label
-    than the leader's, of the group in which it shares most."""
+def _to_pivots(groups: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """A candidate for each node from the group in which it shares most: the leader, or in
+    later turns, for nodes without the leader's label, a node with it that a hash picks."""
     if turn == 0:
-        candidates = groups.select("leader", "node", "shared")
+        candidates = groups.select(F.col("leader").alias("pivot"), "node", "shared").filter("pivot <> node")
     else:
-        named = groups.join(labels, "node", "left").select(
-            "leader", "node", "shared", F.coalesce("label", "node").alias("label")
-        )
         own = labels.select(F.col("node").alias("leader"), F.col("label").alias("own"))
-        apart = named.join(own, "leader", "left").filter(F.col("label") != F.coalesce("own", "leader"))
-        second = apart.groupBy("leader").agg(F.min("node").alias("second"))
-        candidates = apart.join(second, "leader").select(F.col("second").alias("leader"), "node", "shared")
-    best = candidates.filter("leader <> node").groupBy("node").agg(
-        F.max(F.struct("shared", "leader")).alias("best")
+        named = (
+            groups.join(labels, "node", "left").join(own, "leader", "left")
+            .select("leader", "node", "shared", (F.coalesce("label", "node") == F.coalesce("own", "leader")).alias("main"))
+        )
+        pivots = named.filter("main").groupBy("leader").agg(
+            F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node")).alias("p")
+        )
+        candidates = named.filter("NOT main").join(pivots, "leader").select(
+            F.col("p.node").alias("pivot"), "node", "shared"
+        )
+    best = candidates.groupBy("node").agg(F.max(F.struct("shared", "pivot")).alias("best"))
+    return best.select(F.col("node").alias("a"), F.col("best.pivot").alias("b"))
+
+
+def _relabelled(labels: DataFrame, found: DataFrame, turn: int) -> DataFrame:
+    """Labels after the links ``a`` to its pivot ``b``: ``a`` takes the pivot's label.
+
+    Nodes with one label are connected; connected nodes need not have one label. The links of
+    the first turn are chains to ever smaller leaders, so they are followed twice.
+    """
+    label_of = lambda frame: frame.select(F.col("node").alias("b"), F.col("label").alias("next"))
+    new = found.join(label_of(labels), "b", "left").select(
+        F.col("a").alias("node"), F.coalesce("next", "b").alias("label")
+    )
+    for _ in range(2 if turn == 0 else 0):
+        new = written(new, "labels")
+        new = new.withColumnRenamed("label", "b").join(label_of(new), "b", "left").select(
+            "node", F.coalesce("next", "b").alias("label")
+        )
+    both = labels.withColumnRenamed("label", "old").join(new, "node", "full")
+    return written(both.select("node", F.coalesce("label", "old").alias("label")), "labels")
+
+
+def _bounded(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs that their points let pass; points are smaller than texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = [batch.column(c).to_pylist() for c in ("size_a", "size_b")]
+            points = [batch.column(c).to_pylist() for c in ("point_a", "point_b")]
+            good = []
+            for na, nb, *both in zip(*sizes, *points):
+                groups = min(map(len, both))
+                a, b = (folded(np.frombuffer(x, np.uint8)[None, :], groups)[0] for x in both)
+                most = int(np.minimum(a, b).sum(dtype=np.int64))
+                good.append((100 + percent) * most >= percent * (na + nb))
+            yield batch.filter(pa.array(good, pa.bool_())).select(["a", "b"])
+
+    side = lambda c: texts.select(*[F.col(x).alias(y) for x, y in (("node", c), ("size", f"size_{c}"), ("point", f"point_{c}"))])
+    joined = pairs.join(side("a"), "a").join(side("b"), "b").filter(
+        F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent
     )
-    return best.select(F.col("node").alias("a"), F.col("best.leader").alias("b"))
+    return joined.select("a", "b", "size_a", "size_b", "point_a", "point_b").mapInArrow(run, "a long, b long")
 
 
 def op2_ngram_jaccard(spark, sf_dir):
