@@ -14,6 +14,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, IntegerType
 from tokenizers import Regex, Tokenizer
 from tokenizers.models import BPE
 from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
@@ -143,7 +144,7 @@ def encode(docs: DataFrame, described: str, text: str = "text", offsets: bool =
 
     schema = docs.select(*[f"`{c}`" for c in kept]).schema
     for name in made:
-        schema = schema.add(name, "array<int>")
+        schema = schema.add(name, ArrayType(IntegerType()))
     return docs.mapInArrow(run, schema)
 
 
