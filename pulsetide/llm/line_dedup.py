@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from pulsetide.llm.common import table, written
 
-#: Edits allowed, and the characters from which on a line takes part in more than equality.
-THRESHOLD, LEAST = 2, 20
+#: Edits allowed, and the least and most characters of a line that takes part in more than
+#: equality. The built-in edit distance walks a long line quadratically, whatever the threshold.
+THRESHOLD, LEAST, MOST = 2, 20, 10_000
 
 
 def segment(length: Column, number: int, threshold: int) -> tuple[Column, Column]:
@@ -70,13 +71,15 @@ def line_decisions(
     text: str = "text",
     threshold: int = THRESHOLD,
     least: int = LEAST,
+    most: int = MOST,
 ) -> DataFrame:
     """A row per document (row of ``docs``): ``rid``, its id, ``n_lines``, ``dropped_lines``.
 
     Lines are what line feeds separate. Lines without a character that is no white space stay.
     Of equal lines the first stays: that of the smallest id (null first), then line number.
     It goes too if any earlier line, kept or not, is within ``threshold`` edits (insertions,
-    deletions and replacements of characters) and both have ``least`` characters or more.
+    deletions and replacements of characters) and both have ``least`` to ``most`` characters;
+    shorter and longer lines go for equality only.
 
     * A null text has no lines; an empty one has one empty line. Texts may be of any length.
     * Rows that repeat are documents of their own, in any order. Other columns are not read.
@@ -98,7 +101,7 @@ def line_decisions(
     )
     place = F.struct("id", "line_no", "rid")
     firsts = occurrences.filter("key IS NOT NULL").groupBy("key").agg(F.min(place).alias("first"))
-    near = _near_earlier(docs.select(F.col(f"`{text}`").alias("text")), firsts, threshold, least)
+    near = _near_earlier(docs.select(F.col(f"`{text}`").alias("text")), firsts, threshold, least, most)
     judged = firsts.join(near.withColumn("near", F.lit(True)), "key", "left")
     stays = F.col("first").eqNullSafe(F.struct("id", "line_no", "rid")) & F.col("near").isNull()
     dropped = F.when(F.col("key").isNotNull() & ~stays, F.col("line_no"))
@@ -113,10 +116,10 @@ def line_decisions(
     )
 
 
-def _near_earlier(texts: DataFrame, firsts: DataFrame, threshold: int, least: int) -> DataFrame:
+def _near_earlier(texts: DataFrame, firsts: DataFrame, threshold: int, least: int, most: int) -> DataFrame:
     """Keys of the lines with an earlier line within the threshold."""
     lines = lines_of(texts, "text", []).filter(
-        (F.char_length("line") >= least) & F.col("line").rlike(r"\S")
+        F.char_length("line").between(least, most) & F.col("line").rlike(r"\S")
     )
     both = F.array_distinct(
         F.concat(entry_keys(F.col("line"), threshold), probe_keys(F.col("line"), threshold))
@@ -185,9 +188,9 @@ WITH lines AS (
 placed AS (SELECT *, row_number() OVER (ORDER BY doc_id, line_no) AS place FROM lines),
 firsts AS (SELECT line, min(place) AS first, length(line) AS n FROM placed WHERE regexp_matches(line, '\S') GROUP BY line),
 near AS (
-  SELECT DISTINCT x.line FROM (SELECT *, unnest([-2, -1, 0, 1, 2]) AS d FROM firsts WHERE n >= 20) x JOIN firsts y
+  SELECT DISTINCT x.line FROM (SELECT *, unnest([-2, -1, 0, 1, 2]) AS d FROM firsts WHERE n BETWEEN 20 AND 10000) x JOIN firsts y
     ON y.n = x.n + x.d AND y.first < x.first
-  WHERE y.n >= 20 AND levenshtein(x.line, y.line) <= 2),
+  WHERE y.n BETWEEN 20 AND 10000 AND levenshtein(x.line, y.line) <= 2),
 dropped AS (
   SELECT doc_id, list(line_no ORDER BY line_no) AS d FROM placed l JOIN firsts f USING (line)
   WHERE l.place <> f.first OR line IN (SELECT line FROM near) GROUP BY doc_id)
