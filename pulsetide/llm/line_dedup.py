@@ -92,7 +92,7 @@ def line_decisions(
     )
     counts = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1)))
     occurrences = written(
-        lines_of(rows.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("n", counts), "text", ["rid", "id", "n"])
+        lines_of(rows.withColumn("n", counts).withColumn("text", F.coalesce("text", F.lit(""))), "text", ["rid", "id", "n"])
         .select(
             "rid", "id", "n", "line_no",
             F.when(F.col("line").rlike(r"\S"), F.xxhash64("line")).alias("key"),

@@ -1,0 +1,6 @@
+"""Helpers for the tests of the training-data operators."""
+
+import sys
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent.parent))
