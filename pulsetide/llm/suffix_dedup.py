@@ -509,10 +509,15 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, text: str = "text", carr
     facts = spans.join(copied, "owner", "full")
     none = F.array().cast("array<int>")
     whole = F.coalesce("copied", F.lit(False))
-    joined = (rows if carry_text else rows.withColumn("sha", F.unhex(F.sha2("body", 256))).drop("body")).join(
-        facts, "owner", "left"
-    )
-    sha = F.col("sha") if not carry_text else F.unhex(F.sha2("body", 256))
+    # The text travels once, in the row; without it only its digest does.
+    if carry_text:
+        mine = rows.drop("body")
+        own = F.coalesce(F.col(f"row.`{text}`").cast("binary"), F.lit(b""))
+        sha = F.unhex(F.sha2(own, 256))
+    else:
+        mine = rows.withColumn("sha", F.unhex(F.sha2("body", 256))).drop("body")
+        own = sha = F.col("sha")
+    joined = mine.join(facts, "owner", "left")
     empty = hashlib.sha256(b"").hexdigest()
     columns = [
         F.col("size").cast("long").alias("n_bytes"),
@@ -521,7 +526,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, text: str = "text", carr
         F.when(whole, F.lit(empty)).otherwise(F.lower(F.hex(F.coalesce("kept_sha", sha)))).alias("kept_sha256"),
     ]
     if carry_text:
-        columns.append(F.when(whole, F.lit(b"")).otherwise(F.coalesce("left", "body")).alias("left"))
+        columns.append(F.when(whole, F.lit(b"")).otherwise(F.coalesce(F.col("left"), own)).alias("left"))
     return joined.select(*[F.col(f"row.`{c}`").alias(c) for c in others], *columns)
 
 
