@@ -25,6 +25,9 @@ HEADLINE = [
     "dq_checks",
     "gold_batch_roundtrip",
     "gold_hourly_stream",
+    # Over layers that the query writes first, so pruning and pushed filters count too.
+    "recent_windows_layer",
+    "user_summary",
 ]
 
 
