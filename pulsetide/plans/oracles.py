@@ -266,6 +266,9 @@ ORACLES = {
         union all select 'gold', count(*) from gold""",
 }
 
-ORACLES["three_layer_stream"] = ORACLES["gold_hourly_stream"]
+ORACLES["three_layer_stream"] = f"""with {GOLD}
+        select * replace (round(avg_heart_rate, 6) as avg_heart_rate, round(avg_spo2, 6) as avg_spo2)
+        from gold
+        where window_end <= (select max(event_at) - interval 15 minutes from silver)"""
 ORACLES["recent_windows_layer"] = ORACLES["recent_windows"]
 ORACLES["user_summary"] = ORACLES["answer_requests"] + "\n        where r.user_id = 'user_0007'"
