@@ -6,9 +6,11 @@ place that their lengths and the segment's number confine. So each line is an en
 segments and their length, and probes the entries of its own and shorter lengths with its
 substrings at those places.
 
-Segments first meet as hashes alone, which leaves the few lines that share any. Only these
-carry their text into the semi-joins that verify them with the banded edit distance, so no
-pairs are written, and a line's first witness is enough.
+Segments first meet as hashes alone, in two steps. The first takes segments of one size for a
+whole class of lengths, which needs fewer than half the hashes, and leaves the few lines that
+share any with a different line; the second takes those of the exact lengths. Only the lines
+that pass both carry their text into the semi-joins that verify them with the banded edit
+distance, so no pairs are written, and a line's first witness is enough.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -58,6 +60,36 @@ def probe_keys(line: Column, threshold: int) -> Column:
     return F.array(*keys)
 
 
+def class_of(length: Column, threshold: int) -> Column:
+    """The least length of a line's class; classes are wider than the threshold.
+
+    The leading three bits of the length name its class, so the lengths of a class differ by a
+    quarter at most (or by the least width).
+    """
+    least_width = threshold.bit_length()
+    bits = F.greatest(F.length(F.bin(length)) - 3, F.lit(least_width))
+    return F.call_function("shiftleft", F.call_function("shiftright", length, bits), bits)
+
+
+def class_keys(line: Column, of: Column, threshold: int) -> Column:
+    """Hashes of segments of one size at the places that all lines of the class ``of`` have.
+
+    The segments of the first half are counted from the start of the line, the others from its
+    end. A segment without edits has as many edits left of it as there are segments, at least,
+    and so has its right side (else another segment will do), which confines its place.
+    """
+    size = F.greatest(F.floor((of - threshold) / (threshold + 1)), F.lit(0)).cast("int")
+    length = F.char_length(line)
+    keys = []
+    for number in range(threshold + 1):
+        right = threshold - number
+        first = size * number if number <= right else length - size * (right + 1)
+        reach = min(number, right)
+        for shift in range(-reach, reach + 1):
+            keys.append(F.xxhash64(of, F.lit(number), F.substring(line, first + 1 + shift, size)))
+    return F.array(*keys)
+
+
 def lines_of(docs: DataFrame, text: str, carried: list[str]) -> DataFrame:
     """The lines of every text with their numbers from 0; a null text has none."""
     return docs.select(
@@ -85,62 +117,84 @@ def line_decisions(
     * Rows that repeat are documents of their own, in any order. Other columns are not read.
     * Lines are told apart by 64-bit hashes. An empty table gives no rows.
     """
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("rid"),
-        F.col(f"`{id_column}`").alias("id"),
-        F.col(f"`{text}`").alias("text"),
-    )
-    counts = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1)))
-    occurrences = written(
-        lines_of(rows.withColumn("n", counts).withColumn("text", F.coalesce("text", F.lit(""))), "text", ["rid", "id", "n"])
-        .select(
-            "rid", "id", "n", "line_no",
-            F.when(F.col("line").rlike(r"\S"), F.xxhash64("line")).alias("key"),
+    key = lambda line: F.when(line.rlike(r"\S"), F.xxhash64(line))
+    rows = written(
+        docs.select(
+            F.monotonically_increasing_id().alias("rid"),
+            F.col(f"`{id_column}`").alias("id"),
+            F.transform(F.split(F.col(f"`{text}`"), "\n", -1), key).alias("keys"),
         ),
         "lines",
-    )
-    place = F.struct("id", "line_no", "rid")
-    firsts = occurrences.filter("key IS NOT NULL").groupBy("key").agg(F.min(place).alias("first"))
-    near = _near_earlier(docs.select(F.col(f"`{text}`").alias("text")), firsts, threshold, least, most)
-    judged = firsts.join(near.withColumn("near", F.lit(True)), "key", "left")
+    )
+    occurrences = rows.select("rid", "id", F.posexplode("keys").alias("line_no", "key")).filter("key IS NOT NULL")
+    near = _near_earlier(docs.select(F.col(f"`{text}`").alias("text")), occurrences, threshold, least, most)
+    # Lines that occur once and are near no earlier one need no more work.
+    marked = written(
+        _firsts(occurrences)
+        .join(near.withColumn("near", F.lit(True)), "key", "left")
+        .filter("copies > 1 OR near"),
+        "lines-marked",
+    )
     stays = F.col("first").eqNullSafe(F.struct("id", "line_no", "rid")) & F.col("near").isNull()
-    dropped = F.when(F.col("key").isNotNull() & ~stays, F.col("line_no"))
-    return (
-        occurrences.join(judged, "key", "left")
+    dropped = (
+        occurrences.join(marked, "key")
+        .filter(~stays)
         .groupBy("rid")
-        .agg(
-            F.first("id").alias(id_column),
-            F.first("n").cast("long").alias("n_lines"),
-            F.array_sort(F.collect_list(dropped)).alias("dropped_lines"),
-        )
+        .agg(F.array_sort(F.collect_list("line_no")).alias("dropped_lines"))
+    )
+    return rows.join(dropped, "rid", "left").select(
+        "rid",
+        F.col("id").alias(id_column),
+        F.when(F.col("keys").isNull(), 0).otherwise(F.size("keys")).cast("long").alias("n_lines"),
+        F.coalesce("dropped_lines", F.array().cast("array<int>")).alias("dropped_lines"),
     )
 
 
-def _near_earlier(texts: DataFrame, firsts: DataFrame, threshold: int, least: int, most: int) -> DataFrame:
-    """Keys of the lines with an earlier line within the threshold."""
-    lines = lines_of(texts, "text", []).filter(
-        F.char_length("line").between(least, most) & F.col("line").rlike(r"\S")
-    )
-    both = F.array_distinct(
-        F.concat(entry_keys(F.col("line"), threshold), probe_keys(F.col("line"), threshold))
-    )
-    # Dealt by segment once; the counts and the join below read the same shuffle.
-    dealt = lines.select(F.xxhash64("line").alias("key"), F.explode(both).alias("segment")).repartition("segment")
+def _firsts(occurrences: DataFrame) -> DataFrame:
+    """First place and number of copies of every line."""
+    place = F.struct("id", "line_no", "rid")
+    return occurrences.groupBy("key").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
+
+
+def _sharing(lines: DataFrame, keys: Column, name: str) -> DataFrame:
+    """Keys of the lines that share any of the hashes ``keys`` with a line of another key.
+
+    The shared hashes are counted map-side first and written, so their size is known when they
+    are joined back: a small table is broadcast, another one is shuffled.
+    """
+    dealt = lines.select("key", F.explode(keys).alias("segment"))
     shared = (
         dealt.groupBy("segment").agg(F.min("key").alias("low"), F.max("key").alias("high"))
         .filter("low <> high").select("segment")
     )
-    alive = dealt.join(shared, "segment", "left_semi").select("key").distinct()
-    held = written(
-        lines.select(F.xxhash64("line").alias("key"), "line")
-        .join(alive, "key", "left_semi")
-        .dropDuplicates(["key"])
-        .join(firsts, "key")
-        .select("key", "line", "first"),
-        "lines-alive",
+    met = dealt.join(written(shared, f"{name}-segments"), "segment", "left_semi")
+    return written(met.select("key").distinct(), f"{name}-keys")
+
+
+def _near_earlier(texts: DataFrame, occurrences: DataFrame, threshold: int, least: int, most: int) -> DataFrame:
+    """Keys of the lines with an earlier line within the threshold."""
+    line, length = F.col("line"), F.char_length("line")
+    lines = (
+        lines_of(texts, "text", [])
+        .filter(length.between(least, most) & line.rlike(r"\S"))
+        .select(F.xxhash64("line").alias("key"), "line")
+    )
+    # A line is in the class of its length and, near the border, in the next one.
+    own, next_one = F.col("own"), F.col("next_one")
+    classed = lines.select(
+        "key", "line", class_of(length, threshold).alias("own"), class_of(length + threshold, threshold).alias("next_one")
+    )
+    keys = F.when(own == next_one, class_keys(line, own, threshold)).otherwise(
+        F.concat(class_keys(line, own, threshold), class_keys(line, next_one, threshold))
     )
-    entries = held.select("*", F.explode(entry_keys(F.col("line"), threshold)).alias("segment"))
-    probes = held.select("*", F.explode(F.array_distinct(probe_keys(F.col("line"), threshold))).alias("segment"))
+    some = lines.join(_sharing(classed, keys, "class"), "key", "left_semi").dropDuplicates(["key"])
+    some = written(some, "lines-some")
+    both = F.concat(entry_keys(line, threshold), probe_keys(line, threshold))
+    alive = _sharing(some, F.array_distinct(both), "exact")
+    firsts = _firsts(occurrences.join(alive, "key", "left_semi"))
+    held = written(some.join(alive, "key", "left_semi").join(firsts, "key").select("key", "line", "first"), "lines-alive")
+    entries = held.select("*", F.explode(entry_keys(line, threshold)).alias("segment"))
+    probes = held.select("*", F.explode(F.array_distinct(probe_keys(line, threshold))).alias("segment"))
 
     def later(left: DataFrame, right: DataFrame) -> DataFrame:
         left, right = left.alias("x"), right.alias("y")
@@ -149,7 +203,7 @@ def _near_earlier(texts: DataFrame, firsts: DataFrame, threshold: int, least: in
         met = (F.col("x.segment") == F.col("y.segment")) & earlier & close
         return left.join(right, met, "left_semi").select("key")
 
-    return later(probes, entries).union(later(entries, probes)).distinct()
+    return written(later(probes, entries).union(later(entries, probes)).distinct(), "lines-near")
 
 
 def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **how) -> DataFrame:
