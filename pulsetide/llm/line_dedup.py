@@ -137,12 +137,12 @@ def line_decisions(
     )
     stays = F.col("first").eqNullSafe(F.struct("id", "line_no", "rid")) & F.col("near").isNull()
     dropped = (
-        occurrences.join(marked, "key")
+        occurrences.join(marked.hint("shuffle_hash"), "key")
         .filter(~stays)
         .groupBy("rid")
         .agg(F.array_sort(F.collect_list("line_no")).alias("dropped_lines"))
     )
-    return rows.join(dropped, "rid", "left").select(
+    return rows.join(dropped.hint("shuffle_hash"), "rid", "left").select(
         "rid",
         F.col("id").alias(id_column),
         F.when(F.col("keys").isNull(), 0).otherwise(F.size("keys")).cast("long").alias("n_lines"),
@@ -159,15 +159,15 @@ def _firsts(occurrences: DataFrame) -> DataFrame:
 def _sharing(lines: DataFrame, keys: Column, name: str) -> DataFrame:
     """Keys of the lines that share any of the hashes ``keys`` with a line of another key.
 
-    The shared hashes are counted map-side first and written, so their size is known when they
-    are joined back: a small table is broadcast, another one is shuffled.
+    The shared hashes are counted map-side first, so a hash that many lines have does not gather
+    them. They and the keys are shuffled, however few: their number follows the corpus.
     """
     dealt = lines.select("key", F.explode(keys).alias("segment"))
     shared = (
         dealt.groupBy("segment").agg(F.min("key").alias("low"), F.max("key").alias("high"))
         .filter("low <> high").select("segment")
     )
-    met = dealt.join(written(shared, f"{name}-segments"), "segment", "left_semi")
+    met = dealt.join(shared.hint("shuffle_hash"), "segment", "left_semi")
     return written(met.select("key").distinct(), f"{name}-keys")
 
 
@@ -187,11 +187,11 @@ def _near_earlier(texts: DataFrame, occurrences: DataFrame, threshold: int, leas
     keys = F.when(own == next_one, class_keys(line, own, threshold)).otherwise(
         F.concat(class_keys(line, own, threshold), class_keys(line, next_one, threshold))
     )
-    some = lines.join(_sharing(classed, keys, "class"), "key", "left_semi").dropDuplicates(["key"])
+    some = lines.join(_sharing(classed, keys, "class").hint("shuffle_hash"), "key", "left_semi").dropDuplicates(["key"])
     some = written(some, "lines-some")
     both = F.concat(entry_keys(line, threshold), probe_keys(line, threshold))
     alive = _sharing(some, F.array_distinct(both), "exact")
-    firsts = _firsts(occurrences.join(alive, "key", "left_semi"))
+    firsts = _firsts(occurrences.join(alive.hint("shuffle_hash"), "key", "left_semi"))
     held = written(some.join(alive, "key", "left_semi").join(firsts, "key").select("key", "line", "first"), "lines-alive")
     entries = held.select("*", F.explode(entry_keys(line, threshold)).alias("segment"))
     probes = held.select("*", F.explode(F.array_distinct(probe_keys(line, threshold))).alias("segment"))
