@@ -5,12 +5,13 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pulsetide.llm import byte_bpe, language_id, packing, shingles, suffix_dedup
 from pulsetide.llm.components import components
 from pulsetide.llm.exact_dedup import exact_dedup
-from pulsetide.llm.line_dedup import dedup_lines, line_decisions
+from pulsetide.llm.line_dedup import class_keys, class_of, dedup_lines, line_decisions
 from pulsetide.llm.ngram_jaccard import Tree, jaccard_components, linked, point, tree_pairs
 from pulsetide.llm.suffix_dedup import repeated_spans
 from pulsetide.llm.topk_search import top_k
@@ -270,3 +271,22 @@ def test_revisits(spark):
     assert resolve_revisits(spark.createDataFrame([], CAPTURE)).count() == 0
     (key,) = spark.range(1).select(canonical_url(__import__("pyspark").sql.functions.lit("ftp://WWW.b.org:80/?b=2&utm_x=1"))).first()
     assert key == "b.org?b=2"
+
+
+def test_lines_within_the_threshold_share_a_class_key(spark):
+    rnd, pairs = random.Random(8), []
+    for length in [*range(20, 70), *range(118, 134), 250, 256, 257, 511, 513]:
+        for _ in range(6):
+            left = right = "".join(rnd.choice("abcd") for _ in range(length))
+            for _ in range(2):
+                at = rnd.randrange(len(right))
+                right = rnd.choice([right[:at] + right[at + 1 :], right[:at] + "z" + right[at:], right[:at] + "q" + right[at + 1 :]])
+            pairs.append((left, right))
+
+    def keys(column):
+        line = F.col(column)
+        length = F.char_length(line)
+        return F.concat(*[class_keys(line, class_of(length + more, 2), 2) for more in (0, 2)])
+
+    table = spark.createDataFrame(pairs, "x string, y string")
+    assert table.filter(~F.arrays_overlap(keys("x"), keys("y"))).count() == 0
