@@ -36,7 +36,8 @@ UNIT, FANOUT = 1024, 16
 #: only save work.
 ROUNDS = 4
 
-#: Hash groups of the points: powers of two between these.
+#: Hash groups of the points: powers of two between these, more only where a byte cannot hold
+#: a group's count.
 LEAST_GROUPS, MOST_GROUPS = 64, 4096
 
 
@@ -59,18 +60,23 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 def point(shingles: np.ndarray) -> np.ndarray:
     """Counts of the shingles by hash group, as bytes; the number of groups follows the size.
 
-    A count that no byte can hold makes all counts the largest, which bounds nothing away.
+    Groups are split until a byte holds every count, so summed minima are never too small.
     """
     groups = LEAST_GROUPS
     while groups < MOST_GROUPS and groups < len(shingles):
         groups *= 2
-    counts = np.bincount((shingles >> np.uint64(64 - 12)).astype(np.int64) * groups >> 12, minlength=groups)
-    return (counts if counts.max() < 256 else np.full(groups, 255)).astype(np.uint8)
+    while True:
+        shift = np.uint64(64 - groups.bit_length() + 1)
+        counts = np.bincount((shingles >> shift).astype(np.int64), minlength=groups)
+        if counts.max() < 256:
+            return counts.astype(np.uint8)
+        groups *= 2
 
 
 def folded(points: np.ndarray, groups: int) -> np.ndarray:
     """The same points by fewer, larger hash groups."""
-    return points.reshape(len(points), groups, -1).sum(axis=2, dtype=np.uint16)
+    held = np.uint16 if points.shape[1] <= 256 * groups else np.uint32
+    return points.reshape(len(points), groups, -1).sum(axis=2, dtype=held)
 
 
 class Tree:
@@ -289,7 +295,7 @@ def _leaf_pairs(rows: dict, first: np.ndarray, end: np.ndarray, percent: int) ->
     last = np.repeat(end, end - first)
     p = np.repeat(at, last - at - 1)
     q = ragged(at + 1, last - at - 1)
-    two_sided = np.repeat([rows["side"][a:b].any() for a, b in zip(first, end)], end - first)
+    two_sided = np.repeat(np.array([rows["side"][a:b].any() for a, b in zip(first, end)], bool), end - first)
     crossing = np.repeat(two_sided, last - at - 1)
     size, width = rows["size"], rows["width"]
     fits = 100 * np.minimum(size[p], size[q]) >= percent * np.maximum(size[p], size[q])
@@ -298,7 +304,7 @@ def _leaf_pairs(rows: dict, first: np.ndarray, end: np.ndarray, percent: int) ->
     p, q = np.where(width[p] <= width[q], p, q), np.where(width[p] <= width[q], q, p)
     out = [np.zeros((0, 2), np.int64)]
     for groups in np.unique(width[p]):
-        for other in (groups, 2 * groups):
+        for other in np.unique(width[q[width[p] == groups]]):
             some = np.flatnonzero((width[p] == groups) & (width[q] == other))
             for part in np.array_split(some, max(1, len(some) * groups >> 22)):
                 a = rows["points"][groups][rows["nth"][p[part]]]
@@ -321,10 +327,13 @@ def _tree_unit(rows: dict, first: int, end: int, percent: int) -> np.ndarray:
     )
     for ga in np.unique(width[side == 0]):
         for gb in np.unique(width[side == right_side]):
-            # Sizes that may link differ by less than two, so their groups are next to each other.
-            if (not right_side and gb > ga) or max(ga, gb) > 2 * min(ga, gb):
+            if not right_side and gb > ga:
                 continue
             left, right = index[(side == 0) & (width == ga)], index[(side == right_side) & (width == gb)]
+            # Not the widths: of two sizes that may link, one may have its groups split more often.
+            a, b = rows["size"][left], rows["size"][right]
+            if 100 * min(a.max(), b.max()) < percent * max(a.min(), b.min()):
+                continue
             groups = min(ga, gb)
             pairs = tree_pairs(tree(left, groups), tree(right, groups), percent)
             pairs = np.stack([left[pairs[:, 0]], right[pairs[:, 1]]], axis=1)

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -12,7 +13,7 @@ from pulsetide.llm import byte_bpe, language_id, packing, shingles, suffix_dedup
 from pulsetide.llm.components import components
 from pulsetide.llm.exact_dedup import exact_dedup
 from pulsetide.llm.line_dedup import class_keys, class_of, dedup_lines, line_decisions
-from pulsetide.llm.ngram_jaccard import Tree, jaccard_components, linked, point, tree_pairs
+from pulsetide.llm.ngram_jaccard import FANOUT, Tree, _unit_pairs, folded, jaccard_components, linked, point, tree_pairs
 from pulsetide.llm.suffix_dedup import repeated_spans
 from pulsetide.llm.topk_search import top_k
 from pulsetide.llm.url_filters import filter_urls
@@ -101,6 +102,31 @@ def test_tree_keeps_every_link():
     assert links <= found and len(links) > 120
 
 
+def test_points_of_large_sets_lose_no_link():
+    rng = np.random.default_rng(6)
+    base = np.unique(rng.integers(0, 2**64, 2_000_000, dtype=np.uint64))
+    crowded = base[(base >> np.uint64(51)) != 5]
+    crowded = np.unique(np.concatenate([crowded, (np.uint64(5) << np.uint64(51)) + np.arange(600, dtype=np.uint64) * np.uint64(1 << 41)]))
+    sets = [base, np.unique(np.concatenate([base[np.arange(len(base)) % 20 > 0], rng.integers(0, 2**64, 90_000, dtype=np.uint64)])), crowded]
+    points = [point(one) for one in sets]
+    assert all(p.dtype == np.uint8 and p.sum(dtype=np.int64) == len(one) for p, one in zip(points, sets))
+    assert len(points[2]) > 2 * len(points[0])
+    groups = min(map(len, points))
+    least = [folded(p[None, :], groups)[0] for p in points]
+    for a, b in ((0, 1), (0, 2), (1, 2)):
+        assert linked(sets[a], sets[b], 75)
+        assert np.minimum(least[a], least[b]).sum(dtype=np.int64) >= len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+    # Units of one leaf and of a tree, which small sets fill up.
+    small = [rng.integers(0, 2**64, 70, dtype=np.uint64) for _ in range(FANOUT)]
+    for all_sets in (sets, sets + small):
+        n = len(all_sets)
+        unit = {c: np.zeros(n, np.int64) for c in ("leader", "kind", "i", "j", "side")} | {
+            "node": np.arange(n), "label": np.arange(n), "size": np.array([len(x) for x in all_sets])}
+        batch = pa.RecordBatch.from_pydict(unit | {"point": [point(x).tobytes() for x in all_sets]})
+        found = {(r["a"], r["b"]) for part in _unit_pairs(75)(iter([batch])) for r in part.to_pylist()}
+        assert {(0, 1), (0, 2), (1, 2)} <= found
+
+
 def test_shingles_ignore_blocks_and_case():
     texts = [b"One two  three four five six", b"", b"  ", b"one TWO three\tfour five six", b"x" * 3000 + b" y"]
     offsets = np.cumsum([0, *map(len, texts)])
