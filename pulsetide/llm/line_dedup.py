@@ -10,7 +10,8 @@ Segments first meet as hashes alone, in two steps. The first takes segments of o
 whole class of lengths, which needs fewer than half the hashes, and leaves the few lines that
 share any with a different line; the second takes those of the exact lengths. Only the lines
 that pass both carry their text into the semi-joins that verify them with the banded edit
-distance, so no pairs are written, and a line's first witness is enough.
+distance, so no pairs are written, and a line's first witness is enough. Long lines are verified
+by the furthest places that so many edits reach on each diagonal.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -19,9 +20,13 @@ from pyspark.sql import functions as F
 from pulsetide.llm.common import table, written
 
 #: Edits allowed, and the least and most characters of a line that takes part in more than
-#: equality. The built-in edit distance walks a long line quadratically, whatever the threshold.
+#: equality. The query has no most: it is the default of ``line_decisions`` alone.
 THRESHOLD, LEAST, MOST = 2, 20, 10_000
 
+#: The built-in edit distance walks a line quadratically, whatever the threshold, so lines of
+#: more characters are verified by ``within``. Results do not depend on it.
+WALKED = 4_096
+
 
 def segment(length: Column, number: int, threshold: int) -> tuple[Column, Column]:
     """First character (from 1) and length of a segment; the last ones are longer by one."""
@@ -90,6 +95,64 @@ def class_keys(line: Column, of: Column, threshold: int) -> Column:
     return F.array(*keys)
 
 
+def _equal_run(x: Column, y: Column, i: Column, j: Column) -> Column:
+    """How many characters of ``x`` from ``i`` and of ``y`` from ``j`` (from 0) are equal.
+
+    Blocks of falling powers of two are compared, each after those that were equal.
+    """
+    most = F.least(F.char_length(x) - i, F.char_length(y) - j)
+    steps = F.transform(
+        F.sequence(F.length(F.bin(most)) - 1, F.lit(0), F.lit(-1)), lambda bit: F.call_function("shiftleft", F.lit(1), bit)
+    )
+    block = lambda line, at, size: F.substring(line, at + 1, size)
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda run, size: F.when(
+            (run + size <= most) & (block(x, i + run, size) == block(y, j + run, size)), run + size
+        ).otherwise(run),
+    )
+
+
+def within(x: Column, y: Column, threshold: int) -> Column:
+    """Whether ``threshold`` edits at most lead from ``x`` to ``y``, for lines of any length.
+
+    For 0, 1, ... edits, ``reached`` holds how far into ``x`` they can get on each diagonal (the
+    place in ``y`` less that in ``x``); -1 is nowhere. Both ends have a diagonal to spare.
+    """
+    n, m = F.char_length(x), F.char_length(y)
+    width = 2 * threshold + 3
+    nowhere = F.lit(-1)
+
+    def slid(place: Column, diagonal: Column) -> Column:
+        inside = (place >= 0) & (place + diagonal >= 0) & (place <= n) & (place + diagonal <= m)
+        return F.when(inside, place + _equal_run(x, y, place, place + diagonal)).otherwise(nowhere)
+
+    def further(reached: Column, edits: Column) -> Column:
+        def best(index: Column) -> Column:
+            diagonal = index - (threshold + 1)
+            before = lambda step: F.get(reached, index + step)
+            moved = lambda place, by: F.when(place >= 0, place + by).otherwise(nowhere)
+            ways = [
+                moved(before(0), 1),  # a replacement
+                before(-1),  # an insertion
+                moved(before(1), 1),  # a deletion
+            ]
+            # A way past an end is none: the least end of both is as far as any gets.
+            end = F.least(n, m - diagonal)
+            place = F.least(F.greatest(*ways), end)
+            return F.when(F.abs(diagonal) <= edits, slid(place, diagonal)).otherwise(nowhere)
+
+        return F.transform(F.sequence(F.lit(0), F.lit(width - 1)), best)
+
+    start = F.transform(
+        F.sequence(F.lit(0), F.lit(width - 1)),
+        lambda index: F.when(index == threshold + 1, slid(F.lit(0), F.lit(0))).otherwise(nowhere),
+    )
+    last = F.aggregate(F.sequence(F.lit(1), F.lit(threshold)), start, further) if threshold else start
+    return (F.abs(m - n) <= threshold) & (F.get(last, m - n + threshold + 1) >= n)
+
+
 def lines_of(docs: DataFrame, text: str, carried: list[str]) -> DataFrame:
     """The lines of every text with their numbers from 0; a null text has none."""
     return docs.select(
@@ -103,15 +166,15 @@ def line_decisions(
     text: str = "text",
     threshold: int = THRESHOLD,
     least: int = LEAST,
-    most: int = MOST,
+    most: int | None = MOST,
 ) -> DataFrame:
     """A row per document (row of ``docs``): ``rid``, its id, ``n_lines``, ``dropped_lines``.
 
     Lines are what line feeds separate. Lines without a character that is no white space stay.
     Of equal lines the first stays: that of the smallest id (null first), then line number.
     It goes too if any earlier line, kept or not, is within ``threshold`` edits (insertions,
-    deletions and replacements of characters) and both have ``least`` to ``most`` characters;
-    shorter and longer lines go for equality only.
+    deletions and replacements of characters) and both have ``least`` to ``most`` characters
+    (None: any number more); shorter and longer lines go for equality only.
 
     * A null text has no lines; an empty one has one empty line. Texts may be of any length.
     * Rows that repeat are documents of their own, in any order. Other columns are not read.
@@ -171,12 +234,13 @@ def _sharing(lines: DataFrame, keys: Column, name: str) -> DataFrame:
     return written(met.select("key").distinct(), f"{name}-keys")
 
 
-def _near_earlier(texts: DataFrame, occurrences: DataFrame, threshold: int, least: int, most: int) -> DataFrame:
+def _near_earlier(texts: DataFrame, occurrences: DataFrame, threshold: int, least: int, most: int | None) -> DataFrame:
     """Keys of the lines with an earlier line within the threshold."""
     line, length = F.col("line"), F.char_length("line")
+    takes_part = length >= least if most is None else length.between(least, most)
     lines = (
         lines_of(texts, "text", [])
-        .filter(length.between(least, most) & line.rlike(r"\S"))
+        .filter(takes_part & line.rlike(r"\S"))
         .select(F.xxhash64("line").alias("key"), "line")
     )
     # A line is in the class of its length and, near the border, in the next one.
@@ -198,7 +262,10 @@ def _near_earlier(texts: DataFrame, occurrences: DataFrame, threshold: int, leas
 
     def later(left: DataFrame, right: DataFrame) -> DataFrame:
         left, right = left.alias("x"), right.alias("y")
-        close = F.levenshtein(F.col("x.line"), F.col("y.line"), threshold) >= 0
+        x, y = F.col("x.line"), F.col("y.line")
+        close = F.when(
+            F.greatest(F.char_length(x), F.char_length(y)) <= WALKED, F.levenshtein(x, y, threshold) >= 0
+        ).otherwise(within(x, y, threshold))
         earlier = (F.col("y.first") < F.col("x.first")) & (F.col("x.key") != F.col("y.key"))
         met = (F.col("x.segment") == F.col("y.segment")) & earlier & close
         return left.join(right, met, "left_semi").select("key")
@@ -211,7 +278,9 @@ def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
 
     Rows are matched by id and text, so rows that repeat both need not be told apart: the
     first of them keeps its lines, the others lose them, in any order. A null text stays null.
+    Lines have no most unless ``how`` names one.
     """
+    how = {"most": None, **how}
     numbered = written(docs.withColumn("__rid", F.monotonically_increasing_id()), "numbered")
     # The decision names a row by the number it is given here, in place of the id's tie-breaker.
     decided = line_decisions(
@@ -229,7 +298,7 @@ def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
 def op8_line_dedup(spark, sf_dir):
     """Near-repeated lines of the whole of ``documents``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_decisions(docs).select(
+    return line_decisions(docs, most=None).select(
         "doc_id", "n_lines", F.size("dropped_lines").cast("long").alias("n_dropped"),
         F.array_join(F.col("dropped_lines").cast("array<string>"), ",").alias("dropped_lines"),
     )

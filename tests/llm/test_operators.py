@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 from pulsetide.llm import byte_bpe, language_id, packing, shingles, suffix_dedup
 from pulsetide.llm.components import components
 from pulsetide.llm.exact_dedup import exact_dedup
-from pulsetide.llm.line_dedup import class_keys, class_of, dedup_lines, line_decisions
+from pulsetide.llm.line_dedup import class_keys, class_of, dedup_lines, line_decisions, within
 from pulsetide.llm.ngram_jaccard import FANOUT, Tree, _unit_pairs, folded, jaccard_components, linked, point, tree_pairs
 from pulsetide.llm.suffix_dedup import repeated_spans
 from pulsetide.llm.topk_search import top_k
@@ -316,3 +316,23 @@ def test_lines_within_the_threshold_share_a_class_key(spark):
 
     table = spark.createDataFrame(pairs, "x string, y string")
     assert table.filter(~F.arrays_overlap(keys("x"), keys("y"))).count() == 0
+
+
+def test_edits_of_long_lines(spark):
+    rnd, pairs = random.Random(9), []
+    for length in [0, 1, 2, 3, 4, 7, 8, 9, 20, 33]:
+        for _ in range(30):
+            left = right = "".join(rnd.choice("abé") for _ in range(length))
+            for _ in range(rnd.randint(0, 4)):
+                at = rnd.randrange(len(right) + 1)
+                right = rnd.choice([right[:at] + right[at + 1 :], right[:at] + "b" + right[at:], right[:at] + "a" + right[at + 1 :]])
+            pairs.append((left, right))
+    frame = spark.createDataFrame(pairs, "x string, y string")
+    for threshold in (0, 1, 2, 3):
+        got = frame.select("x", "y", within(F.col("x"), F.col("y"), threshold).alias("near")).collect()
+        assert [r.near for r in got] == [distance(r.x, r.y) <= threshold for r in got]
+    line = "é" + LONG
+    rows = [(1, line), (2, line[1:-1]), (3, "q" + line + "q" + "q"), (4, line[:5] + line[6:90_000] + "é" + line[90_000:]), (5, LONG[::-1]), (6, "short " * 4 + "\n" + line)]
+    dropped = {r.doc_id: r.dropped_lines for r in line_decisions(docs(spark, rows), most=None).collect()}
+    assert dropped == {1: [], 2: [0], 3: [], 4: [0], 5: [], 6: [1]}
+    assert {r.doc_id: r.text for r in dedup_lines(docs(spark, rows[:2])).collect()} == {1: line, 2: ""}
