@@ -19,16 +19,12 @@ from pulsetide.llm.suffix_dedup import repeated_spans
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
-#: The least mean probability of a document's language. Text without any language in it, such
-#: as rows of digits, stays near the reciprocal of the number of languages.
-LEAST_SCORE = 0.35
-
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; null texts and those without a letter go."""
+    """Documents with a language, however sure; null texts and those without a letter go."""
     network = learn(docs.filter(~is_held_out("doc_id")).select("doc_id", "text", "lang"))
     found = identify(docs, network)
-    return found.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
+    return found.filter(F.col("lang_pred") != UNDETERMINED).select(*COLUMNS)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

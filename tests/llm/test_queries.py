@@ -180,3 +180,14 @@ def test_stages_of_the_pipeline(spark):
         spark.createDataFrame(rows, out.schema)
         docs, kept = spark.createDataFrame(rows, out.schema), after
     packed_right(spark, stages["packing"](spark, docs, SMALL).collect(), kept)
+
+
+def test_every_document_with_a_letter_stays(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = docs.filter("doc_id < 100").collect()
+    parts = {r.lang: r.text.replace("\n", " ")[:300] for r in rows}
+    mixed = ["".join(parts.values())[:k] for k in (None, 700)] + ["qzx " * 50, "7 7 7 a 7 7"]
+    more = [(10_000 + k, text, None, "x", len(text)) for k, text in enumerate([*mixed, "7 7 7", ""])]
+    frame = spark.createDataFrame([*map(tuple, rows), *more], docs.schema)
+    out = {r.doc_id for r in corpus_pipeline.identify_languages(spark, frame, SMALL).select("doc_id").collect()}
+    assert len(parts) > 2 and out == {r.doc_id for r in rows} | {10_000 + k for k in range(len(mixed))}
