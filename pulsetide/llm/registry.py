@@ -8,6 +8,7 @@ from pulsetide.llm import (
     ngram_jaccard,
     packing,
     suffix_dedup,
+    token_store,
     topk_search,
     url_filters,
     warc_revisits,
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_topk_search": topk_search.op9_topk_search,
     "op10_packing": packing.op10_packing,
+    "op11_token_store": token_store.op11_token_store,
 }
 
 ORACLES = {
