@@ -2,6 +2,7 @@
 
 from pulsetide.llm import (
     byte_bpe,
+    conversation_trie,
     exact_dedup,
     language_id,
     line_dedup,
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_topk_search": topk_search.op9_topk_search,
     "op10_packing": packing.op10_packing,
     "op11_token_store": token_store.op11_token_store,
+    "op13_conversation_trie": conversation_trie.op13_conversation_trie,
 }
 
 ORACLES = {
@@ -35,4 +37,5 @@ ORACLES = {
     "op7_warc_revisits": warc_revisits.ORACLE,
     "op8_line_dedup": line_dedup.ORACLE,
     "op9_topk_search": topk_search.ORACLE,
+    "op13_conversation_trie": conversation_trie.ORACLE,
 }

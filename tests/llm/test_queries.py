@@ -26,7 +26,7 @@ SMALL = "/root/testdata/sf0.001"
 def test_same_rows_as_sql(spark, name):
     got = QUERIES[name](spark, SMALL).toArrow()
     connection = duckdb.connect()
-    for table in ("documents", "pages", "embeddings"):
+    for table in ("documents", "pages", "embeddings", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     want = connection.sql(ORACLES[name]).to_arrow_table()
     columns = sorted(want.column_names)
