@@ -2,6 +2,7 @@
 
 from pulsetide.llm import (
     byte_bpe,
+    collocations,
     conversation_trie,
     exact_dedup,
     language_id,
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_topk_search": topk_search.op9_topk_search,
     "op10_packing": packing.op10_packing,
     "op11_token_store": token_store.op11_token_store,
+    "op12_collocations": collocations.op12_collocations,
     "op13_conversation_trie": conversation_trie.op13_conversation_trie,
 }
 
@@ -37,5 +39,6 @@ ORACLES = {
     "op7_warc_revisits": warc_revisits.ORACLE,
     "op8_line_dedup": line_dedup.ORACLE,
     "op9_topk_search": topk_search.ORACLE,
+    "op12_collocations": collocations.ORACLE,
     "op13_conversation_trie": conversation_trie.ORACLE,
 }
