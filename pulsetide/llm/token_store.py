@@ -22,7 +22,6 @@ Folders are reached by pyarrow's file systems (local or shared folders, HDFS, S3
 
 import json
 import uuid
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +40,7 @@ from pulsetide.session import scratch_path
 
 VOCABULARY, END = "word_bpe_49k.json", 1
 
-#: Bytes of ids in a shard, and keys in a bucket of the index, on average, in large stores.
+#: Bytes of text for a shard, and keys in a bucket of the index, on average, in large stores.
 SHARD_BYTES, BUCKET_KEYS = 64 << 20, 1 << 18
 #: Bits per key that is left at a level of the hash function, and a bound no real keys reach.
 SPARE, LEVELS = 2, 128
@@ -49,7 +48,7 @@ SPARE, LEVELS = 2, 128
 ADDED = 1_000
 #: Bytes of ids a task reads at once, and the gap over which two reads become one.
 READ, GAP = 4 << 20, 1 << 16
-#: Bytes of text or ids in a batch that leaves a Python worker.
+#: Bytes of text that are encoded at once.
 BATCH = 4 << 20
 
 MAGIC = b"PTMPH001"
@@ -70,8 +69,8 @@ def write_store(
 
     * A null or empty text is a document of the end id alone. Texts may be of any length; a
       document lies in one shard.
-    * Rows of one key follow each other, by length, checksum and place in the input; a key with
-      a third of all rows is spread over many shards. Null keys come last and are kept.
+    * Rows of one key follow each other, by length and hash of their texts; a key with a third
+      of all rows is spread over many shards. Null keys come last and are kept.
     * An empty table gives a store without shards. Other columns are not read.
     * A folder that exists is refused.
     """
@@ -81,16 +80,18 @@ def write_store(
     if store.get_file_info(root).type != fs.FileType.NotFound:
         raise ValueError(f"{path} exists; choose another folder")
     width = 2 if max(Tokenizer.from_str(described).get_vocab_size() - 1, end) < 1 << 16 else 4
-    # Written once, so that the place of a row, and with it the order of equal rows, is fixed.
-    encoded = written(
-        encode_documents(docs, described, end, width, text, key), "encoded"
-    ).withColumn("place", F.monotonically_increasing_id())
-    size = encoded.agg(F.sum("n_tokens").alias("ids"), F.count("*").alias("docs")).first()
-    shards = max(partitions(spark), -(-(size.ids or 0) * width // shard_bytes))
+    body = F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b""))
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), body.alias("body"))
+    size = rows.agg(F.sum(F.octet_length("body")).alias("bytes"), F.count("*").alias("docs")).first()
+    shards = max(partitions(spark), -(-(size.bytes or 0) // shard_bytes))
     buckets = max(partitions(spark), -(-size.docs // bucket_keys))
-    order = [F.col("key").asc_nulls_last(), "n_tokens", "crc", "place"]
-    ordered = encoded.repartitionByRange(shards, *order).sortWithinPartitions(*order)
-    runs = written(write_shards(ordered.select("key", "n_tokens", "ids"), path, width), "runs")
+    # The place only parts rows that are equal in all else, so that they go to many shards.
+    ordered = rows.select(
+        "key", "text", F.octet_length("body").alias("size"), F.xxhash64("body").alias("hash"), F.monotonically_increasing_id().alias("place")
+    )
+    order = [F.col("key").asc_nulls_last(), "size", "hash", "place"]
+    ordered = ordered.repartitionByRange(shards, *order).sortWithinPartitions(*order).select("key", "text")
+    runs = written(write_shards(ordered, described, path, end, width), "runs")
     sums = written(shard_starts(runs), "shards")
     sums.write.parquet(f"{path}/shards")
     # One row per key and shard: a key that many documents share is a few rows here.
@@ -124,33 +125,6 @@ def look_up(spark: SparkSession, path: str, keys: DataFrame, key: str = "doc_id"
     return read_runs(together, path, about["width"])
 
 
-def encode_documents(docs: DataFrame, described: str, end: int, width: int, text: str, key: str) -> DataFrame:
-    """``key, n_tokens, crc, ids`` of every row; ids of the store's width."""
-    shared = docs.sparkSession.sparkContext.broadcast(described)
-    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces.of(shared.value)
-        for whole in batches:
-            _, offsets = text_buffers(whole.column("text"))
-            for first, last in blocks(offsets, BATCH):
-                batch = whole.slice(first, last - first)
-                ids, bounds = pieces.encode(batch.column("text"))
-                tokens = np.diff(bounds) + 1
-                ends = np.cumsum(tokens)
-                out = np.full(ends[-1], end, f"<u{width}")
-                out[np.delete(np.arange(len(out)), ends - 1)] = ids
-                column = binary_column(out.view(np.uint8), np.concatenate([[0], ends * width]))
-                crc = [zlib.crc32(x) for x in column.to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("key"), pa.array(tokens, pa.int64()), pa.array(crc, pa.int64()), column],
-                    ["key", "n_tokens", "crc", "ids"],
-                )
-
-    kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(run, f"key {kind}, n_tokens long, crc long, ids binary")
-
-
 def binary_column(raw: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """A binary column of the bytes between the offsets."""
     places = pa.py_buffer(np.ascontiguousarray(offsets, np.int64))
@@ -159,33 +133,44 @@ def binary_column(raw: np.ndarray, offsets: np.ndarray) -> pa.Array:
     ).cast(pa.binary())
 
 
-def write_shards(ordered: DataFrame, path: str, width: int) -> DataFrame:
-    """Write each task's rows as one shard: a row per run of equal keys.
+def write_shards(ordered: DataFrame, described: str, path: str, end: int, width: int) -> DataFrame:
+    """Encode each task's rows (``key, text``) into one shard: a row per run of equal keys.
 
     ``nr`` and ``at`` are the documents and ids before the run in its shard.
     """
+    shared = ordered.sparkSession.sparkContext.broadcast(described)
     numbered = ordered.withColumn("shard", F.spark_partition_id())
 
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, offsets = text_buffers(batch.column("text"))
+            for first, last in blocks(offsets, BATCH):
+                yield batch.slice(first, last - first)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = Pieces.of(shared.value)
         store, root = file_system(path)
         out, lengths, held, nr, at = None, None, None, 0, 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in parts(batches):
             shard = batch.column("shard")[0].as_py()
             if out is None:
                 store.create_dir(f"{root}/ids", recursive=True)
                 out, lengths = (Replaced(store, f"{root}/ids/shard-{shard:06d}.{x}") for x in ("bin", "len"))
-            raw, _ = text_buffers(batch.column("ids"))
-            tokens = batch.column("n_tokens").to_numpy()
+            ids, bounds = pieces.encode(batch.column("text"))
+            tokens = np.diff(bounds) + 1
+            before = np.concatenate([[0], np.cumsum(tokens)])
+            raw = np.full(before[-1], end, f"<u{width}")
+            inside = np.ones(len(raw), bool)
+            inside[before[1:] - 1] = False
+            raw[inside] = ids
             out.write(raw)
             lengths.write(tokens.astype("<u4"))
             code = batch.column("key").dictionary_encode("encode").indices.to_numpy()
             firsts = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
-            before = np.concatenate([[0], np.cumsum(tokens)])
             docs = np.diff(np.append(firsts, len(tokens)))
-            ids = np.add.reduceat(tokens, firsts)
-            runs = list(zip(batch.column("key").take(pa.array(firsts)).to_pylist(), (nr + firsts).tolist(), (at + before[firsts]).tolist(), docs.tolist(), ids.tolist()))
+            sums = np.add.reduceat(tokens, firsts)
+            keys = batch.column("key").take(pa.array(firsts)).to_pylist()
+            runs = list(zip(keys, (nr + firsts).tolist(), (at + before[firsts]).tolist(), docs.tolist(), sums.tolist()))
             nr, at = nr + len(tokens), at + int(before[-1])
             if held and held[0] == runs[0][0]:  # the run goes on from the last batch
                 runs[0] = (*held[:3], held[3] + runs[0][3], held[4] + runs[0][4])

@@ -27,21 +27,19 @@ def found(spark, path, keys):
     return [(r.key, r.start, np.frombuffer(r.ids, "<u4").tolist()) for r in look_up(spark, path, keys).collect()]
 
 
-def in_order(rows, end=1):
+def in_order(spark, rows, end=1):
     """Rows of (key, text) as the store orders them, with the ids before each."""
-    encoded = sorted(
-        ((key is None, key if key is not None else 0, len(ids), zlib.crc32(np.array(ids, "<u2").tobytes())), key, ids)
-        for key, ids in ((key, ids_of(text, end)) for key, text in rows)
-    )
-    starts = np.cumsum([0, *(len(ids) for *_, ids in encoded)]).tolist()
-    return [(key, start, ids) for (_, key, ids), start in zip(encoded, starts)]
+    hashes = spark.createDataFrame([(t or "",) for _, t in rows], "t string").selectExpr("xxhash64(CAST(t AS binary)) AS h").collect()
+    order = sorted((key is None, key if key is not None else 0, len((text or "").encode()), h, ids_of(text, end)) for (key, text), (h,) in zip(rows, hashes))
+    starts = np.cumsum([0, *(len(r[-1]) for r in order)]).tolist()
+    return [(None if r[0] else r[1], start, r[-1]) for r, start in zip(order, starts)]
 
 
 def test_query_equals_plain_python(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
     want = {
         (key, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
-        for key, start, ids in in_order([(r.doc_id, r.text) for r in docs])
+        for key, start, ids in in_order(spark, [(r.doc_id, r.text) for r in docs])
     }
     got = QUERIES["op11_token_store"](spark, SMALL).collect()
     assert len(got) == len(docs) and {tuple(r) for r in got} == want
@@ -53,7 +51,7 @@ def test_repeats_nulls_and_long_texts_over_many_shards(spark, tmp_path):
     frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS ids", "1 AS shard", "2 AS key")
     path = str(tmp_path / "store")
     write_store(frame, DESCRIBED, path, shard_bytes=100)
-    want = in_order(rows)
+    want = in_order(spark, rows)
     assert sorted(found(spark, path, frame), key=repr) == sorted(want, key=repr)
     # The hot key lies in several shards, and the payload is the ids in order and nothing else.
     names = sorted(os.listdir(tmp_path / "store/ids"))
