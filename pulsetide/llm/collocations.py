@@ -18,22 +18,24 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pulsetide.llm.common import blocks, ragged, table, text_buffers, written
+from pulsetide.llm.common import blocks, small_batches, table, text_buffers, written
 from pulsetide.llm.subwords import hashed
 from pulsetide.session import scratch_path
 
 #: Occurrences of a frequent phrase, words of the longest, and shards of a cycle.
 LEAST, LONGEST, SHARDS = 30, 4, 2
 #: Bytes of text of a block, and logarithm of the places of the array of marks (a byte each).
-BLOCK_BYTES, PLACE_BITS = 8 << 20, 24
+BLOCK_BYTES, PLACE_BITS = 4 << 20, 24
 #: Share of a phrase's occurrences, in percent, that make it part of a longer one; phrases of
 #: a language that are reported; parts of a language when these are chosen.
 PART_OF, REPORTED, SPREAD = 80, 2_000, 64
 UNKNOWN = "und"
+#: Rows of an Arrow batch of phrases.
+ROWS = 1 << 16
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -107,12 +109,12 @@ def word_numbers(raw: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.nda
     texts = offsets[:-1][offsets[:-1] < offsets[1:]]
     begins[texts] = inside[texts]  # a word ends with its text
     starts = np.flatnonzero(begins)
-    count = np.concatenate([[0], np.cumsum(inside)])
-    edges = np.append(count[starts], count[-1]).astype(np.int64)
+    count = np.cumsum(inside, dtype=np.int32 if len(raw) < 1 << 31 else np.int64)
+    edges = np.append(count[starts] - 1, count[-1:]).astype(np.int64)
+    del count
     words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(edges), pa.py_buffer(raw[inside]))
     coded = words.dictionary_encode()
-    ends = np.cumsum(ending)
-    piece = ends[starts] + np.searchsorted(offsets, starts, side="right")
+    piece = np.searchsorted(np.flatnonzero(ending), starts) + np.searchsorted(offsets, starts, side="right")
     tokens = coded.indices.to_numpy().astype(np.int32)
     opening = np.append(True, piece[1:] != piece[:-1])[: len(tokens)]
     return coded.dictionary, np.where(opening, ~tokens, tokens)
@@ -129,28 +131,26 @@ def frequent_phrases(
 
     ``word_rows`` are the blocks of ``word_blocks``, with shards from 0 on.
     """
-    spark = word_rows.sparkSession
     marks = np.zeros(1 << PLACE_BITS, np.uint8)
-    counted: dict[int, DataFrame] = {}
+    counts = None
     whole = []
     step, marked = 0, 0
     # Words are active from the start, others while a cycle has not passed since the last mark.
     while step < max(shards, marked + shards if marked else 0):
         step += 1
         shard = word_rows.filter(F.col("shard") == (step - 1) % shards)
-        counted[step] = written(counts_of(shard, marks, step, longest, shards), "counted")
-        key = ["lang", "length", "since", "phrase"]
-        # A phrase in its first step has been counted nowhere else; older ones are added up.
-        first = counted[step].filter(F.col("since") == step - 1)
-        older = counted[step].filter(F.col("since") < step - 1)
-        for before in range(max(1, step - shards + 1), step):
-            older = older.union(counted[before].filter(F.col("since").between(step - shards, before - 1)))
-        older = older.groupBy(*key).agg(F.sum("f").alias("f"), F.min("place").alias("place"))
-        reached = written(first.unionByName(older).filter(F.col("f") >= least), "reached")
-        # A full cycle: these counts are final.
-        whole.append(reached.filter(F.col("since") == step - shards).select("lang", "length", "phrase", "f"))
+        found = counts_of(shard, marks, step, longest, shards)
+        if counts is not None:  # of phrases whose cycle goes on
+            found = found.unionByName(counts.filter(_since() >= step - shards).select("key", "tag", "f"))
+        # The tag follows from the phrase: its length, place, and when it became active.
+        found = found.groupBy("key").agg(F.min("tag").alias("tag"), F.sum("f").alias("f"))
+        done = _since() == step - shards
+        counts = written(found.filter(~done | (F.col("f") >= least)), "counted")
+        # After a full cycle counts are final.
+        whole.append(counts.filter(done))
         # At most as many places as the array has.
-        places = reached.filter(F.col("length") < longest).select("place").distinct().toArrow()
+        reached = counts.filter((F.col("f") >= least) & (_length() < longest))
+        places = reached.select(F.col("tag").bitwiseAND(_PLACES).alias("place")).distinct().toArrow()
         places = places.column(0).to_numpy()
         fresh = places[marks[places] == 0]
         if len(fresh):
@@ -159,43 +159,56 @@ def frequent_phrases(
     out = whole[0]
     for part in whole[1:]:
         out = out.union(part)
-    return written(out, "frequent")
+    return written(
+        out.select(
+            F.expr("substring(key, 1, length(key) - length(substring_index(key, '\t', -1)) - 1)").alias("lang"),
+            _length().cast("int").alias("length"),
+            F.substring_index("key", "\t", -1).alias("phrase"),
+            "f",
+        ),
+        "frequent",
+    )
+
+
+#: In a tag: bits of the place, and where the step of activation and the length stand.
+_PLACES, _SINCE, _LENGTH = (1 << 32) - 1, 32, 48
+
+
+def _since() -> Column:
+    return F.shiftright("tag", _SINCE).bitwiseAND((1 << (_LENGTH - _SINCE)) - 1)
+
+
+def _length() -> Column:
+    return F.shiftright("tag", _LENGTH)
 
 
 def counts_of(shard: DataFrame, marks: np.ndarray, step: int, longest: int, shards: int) -> DataFrame:
-    """``lang, length, since, phrase, place, f``: active phrases of a shard.
+    """``key, tag, f``: active phrases in the blocks of a shard.
 
-    ``since`` is the step after which a phrase became active.
+    A key is language, tab, phrase (which has no tab); a tag holds the phrase's length, the
+    step after which it became active, and its place in the array.
     """
     shared = shard.sparkSession.sparkContext.broadcast(marks)
     bits = marks.size.bit_length() - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lang, vocabulary, tokens in zip(*(batch.column(c).to_pylist() for c in ("lang", "vocabulary", "tokens"))):
-                words = pa.array(vocabulary.decode().split("\n"), pa.large_string())
-                found = active_counts(words, lang, np.frombuffer(tokens, np.int32), shared.value, bits, step, longest, shards)
-                for length, since, phrases, places, counts in found:
+            for nr in range(batch.num_rows):
+                lang, vocabulary, tokens = (batch.column(c)[nr] for c in ("lang", "vocabulary", "tokens"))
+                words = pa.array(vocabulary.as_py().decode().split("\n"), pa.large_string())
+                ids = np.frombuffer(tokens.as_buffer(), np.int32)
+                for length, since, phrases, places, f in active_counts(words, lang.as_py(), ids, shared.value, bits, step, longest, shards):
+                    tags = (length << _LENGTH) | (since << _SINCE) | places
                     # Arrow batches of a bounded number of phrases.
-                    for at in range(0, len(counts), 1 << 16):
-                        some = slice(at, at + (1 << 16))
-                        size = len(counts[some])
+                    for at in range(0, len(f), ROWS):
+                        named = pc.binary_join_element_wise(pa.scalar(lang.as_py(), pa.large_string()), phrases.slice(at, ROWS), pa.scalar("\t", pa.large_string()))
                         yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array([lang] * size, pa.string()),
-                                pa.array(np.full(size, length, np.int32)),
-                                pa.array(since[some].astype(np.int32)),
-                                phrases.slice(at, 1 << 16).cast(pa.string()),
-                                pa.array(places[some].astype(np.int64)),
-                                pa.array(counts[some].astype(np.int64)),
-                            ],
-                            ["lang", "length", "since", "phrase", "place", "f"],
+                            [named.cast(pa.string()), pa.array(tags[at : at + ROWS]), pa.array(f[at : at + ROWS].astype(np.int64))], ["key", "tag", "f"]
                         )
+                pa.default_memory_pool().release_unused()
 
-    found = shard.select("lang", "vocabulary", "tokens").mapInArrow(
-        run, "lang string, length int, since int, phrase string, place long, f long"
-    )
-    return found.groupBy("lang", "length", "since", "phrase").agg(F.min("place").alias("place"), F.sum("f").alias("f"))
+    found = shard.select("lang", "vocabulary", "tokens")
+    return found.mapInArrow(run, "key string, tag long, f long")
 
 
 def active_counts(words, lang, tokens, marks, bits, step, longest, shards):
@@ -306,14 +319,15 @@ def collocations(
     ``a`` (both descending), then the phrase's bytes.
 
     * A null text is empty, a null language is ``und``. Texts may be of any length; only the
-      texts of a block of 8 MB, or one longer text, are held at once.
+      texts of a block of 4 MB, or one longer text, are held at once.
     * Repeated rows count as often as they occur. An empty table gives no rows, and other
       columns are not read.
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "word-blocks")
     made = word_blocks(docs, shards, text, lang)
-    made.write.partitionBy("shard").parquet(path)
+    with small_batches(spark):
+        made.write.partitionBy("shard").parquet(path)
     word_rows = spark.read.schema(made.schema).parquet(path)
     frequent = frequent_phrases(word_rows, least, longest, shards)
     kept = not_part_of_longer(scored(frequent))

@@ -1,6 +1,7 @@
 """What several operators need: tables, scratch tables, text as bytes in numpy."""
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,8 @@ from pulsetide.session import scratch_path
 
 #: Bytes of text a numpy kernel takes at once; a longer text is a block of its own.
 BLOCK_BYTES = 1 << 20
+#: Bytes of an Arrow batch on its way to Python; a larger row is a batch of its own.
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,10 +28,26 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     from here on, whatever is recomputed later.
     """
     path = scratch_path(frame.sparkSession, name)
-    frame.write.parquet(path)
+    with small_batches(frame.sparkSession):
+        frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs started here send Python batches of bounded bytes, whatever the rows hold.
+
+    By default a batch is 10,000 rows, which may be any number of bytes.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def body(text: str = "text") -> Column:
     """The text as UTF-8 bytes; null counts as empty."""
     return F.coalesce(F.col(text).cast("binary"), F.lit(b""))
