@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsetide.model import METRIC_COLUMNS, METRICS, STATISTICS
-from pulsetide.operators.series import is_hourly, is_recent, to_long, value_columns
+from pulsetide.operators.series import is_hourly, recent, to_long, value_columns
 from pulsetide.operators.summary import hourly_statistics, shown_statistics, summarise
 
 SUMMARY_TYPE = (
@@ -43,17 +43,19 @@ def known_users(table: DataFrame) -> DataFrame:
 def answers(table: DataFrame, as_of: Column | datetime | str | None) -> DataFrame:
     """One row per user of the table and metric, with the summary where there is one.
 
-    An hourly table is read once: rows before the look-back lose their values and times, so
-    the partial aggregate leaves one of them per user and task, which says the user is known.
+    Of an hourly table the whole history gives its user ids alone, one column; values are read
+    from the dates of the look-back. Both meet in one aggregate, whose partial step leaves one
+    row per user and task of the history, which says the user is known.
     """
     statistics = F.struct(*STATISTICS).alias("data_summary")
     if is_hourly(table):
-        now = is_recent(table, as_of)
-        masked = table.filter(F.col("user_id").isNotNull()).select(
-            "user_id",
-            *[F.when(now, F.col(c)).alias(c) for c in ("window_start", "window_end", *METRIC_COLUMNS.values())],
+        columns = ["user_id", "window_start", "window_end", *METRIC_COLUMNS.values()]
+        values = recent(table, as_of).select(*columns)
+        users = table.select("user_id").select(
+            "user_id", *[F.lit(None).cast(values.schema[c].dataType).alias(c) for c in columns[1:]]
         )
-        shown = shown_statistics(hourly_statistics(masked, METRICS, fold_first=True))
+        known = values.union(users).filter(F.col("user_id").isNotNull())
+        shown = shown_statistics(hourly_statistics(known, METRICS, fold_first=True))
         return shown.select(
             "user_id",
             "metric_name",

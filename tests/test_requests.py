@@ -93,7 +93,7 @@ def test_other_columns_and_repeated_requests_are_kept(spark, table):
     assert rows(answered, "id", "status") == [(n, "ok") for n in range(3)]
 
 
-def test_one_scan_of_gold_and_two_of_requests(spark, tmp_path):
+def test_two_narrow_scans_of_gold_and_two_of_requests(spark, tmp_path):
     overwrite_layer(wide(spark, [(f"u{n}", 1, 70.0, 97.0, n) for n in range(20)]).withColumn(
         "date", F.to_date("window_start")), str(tmp_path / "gold"))
     spark.range(50).selectExpr("concat('u', id) AS user_id", "'steps' AS metric_name").write.parquet(
@@ -101,7 +101,9 @@ def test_one_scan_of_gold_and_two_of_requests(spark, tmp_path):
     requests = spark.read.parquet(str(tmp_path / "requests"))
     text = final_plan(answer_requests(requests, read_layer(spark, str(tmp_path / "gold")), AS_OF))
     scans = [line for line in text.splitlines() if "FileScan parquet" in line]
-    assert sum("/gold" in line for line in scans) == 1
+    # User ids of the whole history, and values of the dates of the look-back.
+    gold = sorted((line.split("ReadSchema:")[1].strip() for line in scans if "/gold" in line), key=len)
+    assert len(gold) == 2 and gold[0] == "struct<user_id:string>" and "avg_heart_rate" in gold[1]
     assert sum("/requests" in line for line in scans) <= 2
 
 
@@ -152,3 +154,15 @@ def test_parts_of_a_hot_user_are_even(spark, monkeypatch):
 
 def test_users_in_order_without_the_nameless(spark, table):
     assert [row[0] for row in available_users(table).collect()] == ["blank", "old", "u1"]
+
+
+def test_values_are_read_from_recent_dates_alone(spark, tmp_path):
+    series = [("old", 200, 60.0, 97.0, 1)] + [("u1", h, 70.0, 97.0, 5) for h in range(0, 24 * 12, 6)]
+    overwrite_layer(wide(spark, series), str(tmp_path / "gold"))
+    layer = read_layer(spark, str(tmp_path / "gold"))
+    answered = answer_requests(asked(spark, ("u1", "steps"), ("old", "steps"), ("none", "steps")), layer, AS_OF)
+    got = {r.user_id: (r.status, r.data_summary and r.data_summary.window_count) for r in answered.collect()}
+    assert got == {"u1": ("ok", 5), "old": ("no_recent_data", None), "none": ("unknown_user", None)}
+    scans = [line for line in final_plan(answered).splitlines() if "FileScan parquet" in line]
+    (with_values,) = [line for line in scans if "total_steps" in line.split("ReadSchema:")[1]]
+    assert ">=" in with_values.split("PartitionFilters: [")[1].split("PushedFilters")[0]
