@@ -39,6 +39,8 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--once", action="store_true", help="take what is there and stop")
     parser.add_argument("--every", default=None, help="trigger interval, such as '30 seconds'")
     parser.add_argument("--files", type=int, default=None, help="output tasks per batch")
+    parser.add_argument("--date-files", type=int, default=None, help="files per date and batch of a stream")
+    parser.add_argument("--codec", default="snappy", help="compression of what a stream writes")
     parser.add_argument("--max-files", type=int, default=None, help="input files per trigger, 0 for all; unsafe unless files are in event order")
     parser.add_argument("--user", default=None, help="summary: the user asked for")
     parser.add_argument("--as-of", default=None, help="summary: end of the look-back, ISO-8601")

@@ -34,6 +34,7 @@ GOLD = (
     .add("window_end", T.TimestampType())
     .add("date", T.DateType())
 )
+LAYERS = {"bronze": BRONZE, "silver": SILVER, "gold": GOLD}
 
 # --- Fixed values: what a valid vital is, and what counts as an anomaly --------
 

@@ -13,19 +13,20 @@ def to_bronze(records: DataFrame, ingested_at: Column | datetime | str | None =
     """Parse the JSON payload, keep partition and offset, stamp arrival, derive the date.
 
     A payload that cannot be parsed keeps its row, with every field null. Batch and
-    streaming inputs are both fine.
+    streaming inputs are both fine. ``ingested_at`` is a time, or a column of the records
+    (their broker time, say); without it the stamp is the time of the job or of the batch.
     """
     # inline() and not select("data.*"): later filters on the fields would otherwise be
     # pushed below the projection and repeat from_json once per predicate.
     payload = F.from_json(F.col("value").cast("string"), PAYLOAD)
     return (
-        records.select("partition", "offset", F.inline(F.array(payload)))
+        records.select("partition", "offset", instant(ingested_at).alias("__stamp"), F.inline(F.array(payload)))
         .select(
             *PAYLOAD.fieldNames(),
             F.col("partition").alias("kafka_partition"),
             F.col("offset").alias("kafka_offset"),
+            F.col("__stamp").alias("ingestion_timestamp"),
         )
-        .withColumn("ingestion_timestamp", instant(ingested_at))
         .withColumn("date", event_date("timestamp"))
     )
 

@@ -62,9 +62,19 @@ def start(spark: SparkSession, options: Namespace) -> StreamingQuery:
     if options.job == "bronze":
         extra = dict(option.split("=", 1) for option in options.option)
         records = kafka_source(spark, options.brokers, options.topic or TOPIC, **extra)
-        return start_bronze(records, options.root, every, options.files)
+        return start_bronze(
+            records, options.root, every, options.files, date_files=options.date_files, codec=options.codec
+        )
     begin = start_silver if options.job == "silver" else start_gold
-    return begin(spark, options.root, every, options.files, options.max_files or None)
+    return begin(
+        spark,
+        options.root,
+        every,
+        options.files,
+        options.max_files or None,
+        date_files=options.date_files,
+        codec=options.codec,
+    )
 
 
 def report(spark: SparkSession, options: Namespace) -> DataFrame:

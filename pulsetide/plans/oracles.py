@@ -272,3 +272,74 @@ ORACLES["three_layer_stream"] = f"""with {GOLD}
         where window_end <= (select max(event_at) - interval 15 minutes from silver)"""
 ORACLES["recent_windows_layer"] = ORACLES["recent_windows"]
 ORACLES["user_summary"] = ORACLES["answer_requests"] + "\n        where r.user_id = 'user_0007'"
+
+# Events in the order of their arrival: a week a step, every seventh one step late. A window is
+# closed, and its late rows dropped, when the steps before have seen 15 minutes beyond its end.
+ARRIVED = (
+    SILVER
+    + """,
+arrived as (
+  select *, date_trunc('hour', event_at) + interval 1 hour as window_end,
+         (day(event_at) - 1) // 7 + case when event_id % 7 = 3 then 1 else 0 end as step
+  from silver),
+seen as (select step, max(event_at) - interval 15 minutes as mark from arrived group by step),
+marks as (
+  select s.step, (select max(mark) from seen e where e.step < s.step) as closed_until,
+         (select max(mark) from seen) as closed_at_last
+  from seen s)"""
+)
+
+ORACLES["late_rows"] = f"""with {ARRIVED}
+        select cast(step as bigint) as step, count(*) as read_rows,
+               count(distinct case when window_end <= closed_until then (user_id, window_end) end) as late_groups
+        from arrived join marks using (step) group by step"""
+ORACLES["trigger_batches"] = f"""with {BRONZE},
+        steps as (
+          select b.*, (day(r.event_at) - 1) // 7 + case when event_id % 7 = 3 then 1 else 0 end as step
+          from bronze b join readings r using (event_id))
+        select cast(step as bigint) as step,
+               count(*) filter (where heart_rate between 30 and 220 and spo2 between 70 and 100 and steps >= 0) as written_rows
+        from steps group by step"""
+ORACLES["late_gold"] = f"""with {ARRIVED}
+        select user_id, round(avg(heart_rate), 6) as avg_heart_rate, round(avg(spo2), 6) as avg_spo2,
+               cast(sum(steps) as bigint) as total_steps, count(*) as event_count,
+               window_end - interval 1 hour as window_start, window_end,
+               cast(window_end - interval 1 hour as date) as "date"
+        from arrived join marks using (step)
+        where (closed_until is null or window_end > closed_until) and window_end <= closed_at_last
+        group by user_id, window_end"""
+ORACLES["restart_no_dupes"] = ORACLES["three_layer_stream"]
+ORACLES["corrupt_file_skip"] = ORACLES["silver_clean"]
+
+HALF = "timestamp '2024-01-16 12:34:56'"
+ORACLES["bronze_stamped"] = f"""with {BRONZE}
+        select b.user_id, b."timestamp", b.heart_rate, b.steps, b.spo2, kafka_partition, kafka_offset,
+               case when event_ts < {HALF} then timestamp '2024-02-01 00:00:00'
+                    else event_ts + interval 5 minutes end as ingestion_timestamp, b."date"
+        from bronze b join readings r using (event_id)"""
+
+# Each half of the events is one batch of bronze and silver. Gold writes a window with the
+# half after which it is closed.
+BY_HALF = f"""{GOLD},
+        sides as (
+          select s.*, r.event_ts >= {HALF} as late from bronze s join readings r using (event_id)),
+        kept as (
+          select * from sides
+          where heart_rate between 30 and 220 and spo2 between 70 and 100 and steps >= 0),
+        ends as (
+          select max(event_at) filter (where not late) - interval 15 minutes as first_end,
+                 max(event_at) - interval 15 minutes as last_end from kept),
+        closed as (
+          select gold.*, window_end > first_end as late from gold, ends where window_end <= last_end)"""
+ORACLES["file_count"] = f"""with {BY_HALF}
+        select 'bronze' as layer, "date", count(distinct late) as files, count(*) as row_count from sides group by "date"
+        union all select 'silver', "date", count(distinct late), count(*) from kept group by "date"
+        union all select 'gold', "date", count(distinct late), count(*) from closed group by "date\""""
+ORACLES["stream_row_counts"] = f"""with {BY_HALF}
+        select 'bronze' as layer, cast(count(*) as bigint) as row_count from sides
+        union all select 'silver', count(*) from kept
+        union all select 'gold', count(*) from closed"""
+ORACLES["layer_codecs"] = f"""with {GOLD}
+        select 'bronze' as layer, 'zstd' as codec, count(distinct coalesce(cast("date" as varchar), '')) as files, count(*) as row_count from bronze
+        union all select 'silver', 'gzip', count(distinct "date"), count(*) from silver
+        union all select 'gold', 'snappy', count(distinct "date"), count(*) from gold"""

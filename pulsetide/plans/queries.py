@@ -20,6 +20,7 @@ from pulsetide.operators.requests import answer_requests
 from pulsetide.operators.series import available_users, recent, to_long, user_history
 from pulsetide.operators.silver import anomalies, to_silver
 from pulsetide.operators.summary import summarise
+from pulsetide.plans import runs
 from pulsetide.session import scratch_path, use_utc
 from pulsetide.sinks.kafka import encode_events
 from pulsetide.sinks.layers import append_stream, overwrite_layer
@@ -226,6 +227,18 @@ def layer_row_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_run(run: Callable[[SparkSession, str], DataFrame], *means: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A run of streams as a query; means of windows whose rows come in any order are rounded."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        frame = plain_times(run(spark, sf_dir))
+        return frame.withColumns({name: F.round(name, 6) for name in means}) if means else frame
+
+    return query
+
+
+MEANS = ("avg_heart_rate", "avg_spo2")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_hourly": gold_hourly,
     "bronze_parse": bronze_parse,
@@ -255,4 +268,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_label": user_label_query,
     "dq_checks": dq_checks_query,
     "layer_row_counts": layer_row_counts_query,
+    "late_rows": stream_run(runs.late_rows),
+    "late_gold": stream_run(runs.late_gold, *MEANS),
+    "trigger_batches": stream_run(runs.trigger_batches),
+    "restart_no_dupes": stream_run(runs.restart_no_dupes, *MEANS),
+    "file_count": stream_run(runs.file_count),
+    "stream_row_counts": stream_run(runs.stream_row_counts),
+    "bronze_stamped": stream_run(runs.bronze_stamped),
+    "layer_codecs": runs.layer_codecs,
+    "corrupt_file_skip": lambda spark, sf_dir: runs.corrupt_file_skip(spark, sf_dir).drop("ingestion_timestamp"),
 }

@@ -42,15 +42,31 @@ def session(app_name: str, master: str | None = None, **settings: str) -> SparkS
 
 
 @contextmanager
-def timestamps_in_micros(spark: SparkSession) -> Iterator[None]:
-    """Writers started here store timestamps as micros, whoever built the session."""
-    key = "spark.sql.parquet.outputTimestampType"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "TIMESTAMP_MICROS")
+def settings_for(spark: SparkSession, *keys: str) -> Iterator[None]:
+    """What starts here runs with these of ``SETTINGS``, whoever built the session."""
+    before = {key: spark.conf.get(key, None) for key in keys}
+    for key in keys:
+        spark.conf.set(key, SETTINGS[key])
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def timestamps_in_micros(spark: SparkSession):
+    """Writers started here store timestamps as micros."""
+    return settings_for(spark, "spark.sql.parquet.outputTimestampType")
+
+
+def stream_settings(spark: SparkSession):
+    """Streams started here store timestamps as micros and keep their state in RocksDB."""
+    return settings_for(
+        spark,
+        "spark.sql.parquet.outputTimestampType",
+        "spark.sql.streaming.stateStore.providerClass",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
+    )
 
 
 def use_utc(spark: SparkSession) -> SparkSession:

@@ -4,9 +4,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pulsetide.session import timestamps_in_micros
+from pulsetide.session import stream_settings, timestamps_in_micros
 
 STREAM_LOG = "_spark_metadata"
+#: Name of the count of rows a stream writes.
+WRITTEN = "written"
 
 
 def append_stream(
@@ -17,33 +19,48 @@ def append_stream(
     every: str | None = None,
     files: int | None = None,
     date_files: int | None = None,
+    codec: str = "snappy",
 ) -> StreamingQuery:
     """Start appending a stream to a layer.
 
     ``every`` is the trigger interval; without it the query takes what is there and
     stops. ``files`` coalesces each batch into that many tasks, which suits small
     streams only, so it is off by default. ``date_files`` deals each batch by date and that
-    many parts of it: then a batch writes so many files per date at most, and not one per
-    task and date, while a date with most of the rows is still written by several tasks.
+    many parts of it: then a batch writes so many files per date, and not one per task and
+    date, while a date with most of the rows is still written by several tasks (of which
+    ``spark.sql.shuffle.partitions`` is the limit). The rows each batch writes are counted on
+    the way (``streaming.progress``).
     """
     out = frame if files is None else frame.coalesce(files)
     if date_files is not None:
-        part = F.pmod(F.xxhash64(*frame.columns), F.lit(date_files)).alias("__part")
-        out = frame.select("*", part).repartition("date", "__part").drop("__part")
+        out = dealt_by_date(frame, date_files)
     writer = (
-        out.writeStream.format("parquet")
+        out.observe(WRITTEN, F.count(F.lit(1)).alias("rows"))
+        .writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)
+        .option("compression", codec)
         .option("checkpointLocation", checkpoint)
         .partitionBy("date")
         .queryName(name)
     )
-    with timestamps_in_micros(frame.sparkSession):
+    with stream_settings(frame.sparkSession):
         if every:
             return writer.trigger(processingTime=every).start()
         return writer.trigger(availableNow=True).start()
 
 
+def dealt_by_date(frame: DataFrame, parts: int) -> DataFrame:
+    """Rows of each date in that many tasks, by their content.
+
+    Neighbouring tasks and not hashed ones, so that no task gets two parts of a date.
+    """
+    tasks = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = F.pmod(F.xxhash64(*frame.columns), F.lit(parts))
+    task = F.pmod(F.pmod(F.xxhash64("date"), F.lit(tasks)) + part, F.lit(tasks))
+    return frame.repartitionById(tasks, task.cast("int"))
+
+
 def is_stream_output(spark: SparkSession, path: str) -> bool:
     """Whether a streaming sink keeps its commit log in the folder (asks the JVM's file system,
     which Spark Connect lacks)."""

@@ -48,6 +48,23 @@ def kafka_records(events: DataFrame) -> DataFrame:
     )
 
 
+#: Steps in which the sample events arrive, and the end of their first half.
+ARRIVALS = 6
+HALF = "2024-01-16T12:34:56Z"
+
+
+def arrivals(events: DataFrame) -> DataFrame:
+    """Events with the step of their ``arrival``: a week a step, every seventh one step late."""
+    week = F.floor((F.dayofmonth("ts") - 1) / 7).cast("int")
+    return events.withColumn("arrival", week + F.when(F.col("event_id") % 7 == 3, 1).otherwise(0))
+
+
+def halves(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Events before and from ``HALF`` on."""
+    early = F.col("ts").cast("timestamp") < F.lit(HALF).cast("timestamp")
+    return events.filter(early), events.filter(~early)
+
+
 def summary_requests(events: DataFrame, customers: DataFrame) -> DataFrame:
     """Requests for summaries: one per event and one per customer.
 

@@ -1,10 +1,13 @@
 """The three streaming queries: topic to bronze, bronze to silver, silver to gold.
 
 Each is a query of its own, chained through files. ``every=None`` takes what is there
-and stops, for backfills and tests; a time keeps the query running.
+and stops, for backfills and tests; a time keeps the query running. The options of the sink
+(``files``, ``date_files``, ``codec``) are those of ``append_stream``.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from pulsetide.model import BRONZE, SILVER, STREAM_NAMES, WATERMARK
@@ -26,7 +29,13 @@ def checkpoint_path(root: str, layer: str) -> str:
 
 
 def append_layer(
-    frame: DataFrame, root: str, layer: str, every: str | None, files: int | None
+    frame: DataFrame,
+    root: str,
+    layer: str,
+    every: str | None = None,
+    files: int | None = None,
+    date_files: int | None = None,
+    codec: str = "snappy",
 ) -> StreamingQuery:
     """Append a stream to a layer below ``root``, under the layer's query name."""
     return append_stream(
@@ -36,14 +45,23 @@ def append_layer(
         STREAM_NAMES[layer],
         every,
         files,
+        date_files,
+        codec,
     )
 
 
 def start_bronze(
-    records: DataFrame, root: str, every: str | None = None, files: int | None = None
+    records: DataFrame,
+    root: str,
+    every: str | None = None,
+    files: int | None = None,
+    ingested_at: Column | datetime | str | None = None,
+    date_files: int | None = None,
+    codec: str = "snappy",
 ) -> StreamingQuery:
-    """Broker records (any stream of that shape) to bronze."""
-    return append_layer(to_bronze(records), root, "bronze", every, files)
+    """Broker records (any stream of that shape) to bronze; ``ingested_at`` as in ``to_bronze``."""
+    bronze = to_bronze(records, ingested_at)
+    return append_layer(bronze, root, "bronze", every, files, date_files, codec)
 
 
 def start_silver(
@@ -52,10 +70,12 @@ def start_silver(
     every: str | None = None,
     files: int | None = None,
     max_files: int | None = None,
+    date_files: int | None = None,
+    codec: str = "snappy",
 ) -> StreamingQuery:
     """Bronze to silver."""
     bronze = stream_layer(spark, layer_path(root, "bronze"), BRONZE, max_files)
-    return append_layer(to_silver(bronze), root, "silver", every, files)
+    return append_layer(to_silver(bronze), root, "silver", every, files, date_files, codec)
 
 
 def start_gold(
@@ -65,6 +85,8 @@ def start_gold(
     files: int | None = None,
     max_files: int | None = None,
     watermark: str = WATERMARK,
+    date_files: int | None = None,
+    codec: str = "snappy",
 ) -> StreamingQuery:
     """Silver to gold: a window is written once, when the watermark has passed its end.
 
@@ -73,4 +95,4 @@ def start_gold(
     start and stays with the checkpoint; choose it for the widest hour to come.
     """
     silver = stream_layer(spark, layer_path(root, "silver"), SILVER, max_files)
-    return append_layer(hourly(silver, watermark), root, "gold", every, files)
+    return append_layer(hourly(silver, watermark), root, "gold", every, files, date_files, codec)

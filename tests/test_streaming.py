@@ -188,7 +188,7 @@ def test_command_line_jobs(spark, root, capsys, monkeypatch):
     def command(job, **options):
         defaults = {
             "root": root, "batch": False, "once": True, "every": None, "files": None,
-            "max_files": None, "out": None, "user": None, "metric": None, "as_of": None,
+            "max_files": None, "date_files": 2, "codec": "zstd", "out": None, "user": None, "metric": None, "as_of": None,
         }
         run(SimpleNamespace(job=job, **{**defaults, **options}))
         return capsys.readouterr().out
