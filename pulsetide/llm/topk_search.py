@@ -4,18 +4,23 @@ Distances from every vector to many pivots are computed once. By the triangle in
 largest difference of two vectors' distances to one pivot is a lower bound of their own
 distance, and with both lengths an upper bound of their inner product. Candidates of a block
 are evaluated in the order of that bound until no bound reaches the k-th best score, so the
-result is exact.
+result is exact. A block as a whole is bounded by the ranges of its distances first.
 
 Vectors travel in packed blocks; each block of queries meets each block of candidates once,
 as the task (a stated set of queries against all rows) demands, and nothing is broadcast but
-the pivots.
+the pivots. A block of queries meets all candidate blocks of a slice one after another, those
+with long vectors first, and takes its k-th best scores along.
+
+Vectors with huge components, whose scores need not fit 64 bits on the way, are in blocks of
+their own, scored one by one in whole numbers of any size, without bounds.
 """
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -24,30 +29,39 @@ from pulsetide.llm.common import partitions, table
 #: Pivots, the sample they are chosen from, and vectors in a block of each kind.
 PIVOTS, SAMPLE, CANDIDATES, QUERIES = 32, 512, 2048, 256
 
-#: Components with a larger absolute value could make a score that a long cannot hold.
-LARGEST = 1 << 27
+#: Vectors with a component of this absolute value or more are huge.
+HUGE = 1 << 27
 
 #: Candidates evaluated between two looks at the bound.
 STEP = 64
 
-BLOCK = "block long, dim int, ids binary, vectors binary, distances binary"
+BLOCK = "block long, dim int, huge boolean, longest double, ids binary, vectors binary, distances binary"
 
 
 def whole_numbers(vectors: DataFrame, id_column: str, vector: str, scale: int) -> DataFrame:
-    """``id`` and ``v`` (floor of ``scale`` times each component) of the vectors that take part."""
+    """``id``, ``v`` (floor of ``scale`` times each component) and ``huge`` of vectors that take part.
+
+    The floors are whole numbers in doubles, which hold them exactly whatever their size.
+    """
     value = F.col(f"`{vector}`")
-    fits = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < LARGEST / scale)
-    return vectors.filter(F.col(f"`{id_column}`").isNotNull() & value.isNotNull()).filter(
-        (F.size(value) > 0) & F.forall(value, fits)
-    ).select(
-        F.col(f"`{id_column}`").cast("long").alias("id"),
-        F.transform(value, lambda x: F.floor(x.cast("double") * scale).cast("int")).alias("v"),
-    )
+    finite = lambda x: x.isNotNull() & (F.abs(x.cast("double")) < float("inf"))
+
+    def floor(x: Column) -> Column:
+        y = x.cast("double") * scale
+        return F.when(F.abs(y) < float(1 << 52), F.floor(y).cast("double")).otherwise(y)
+
+    whole = F.transform(value, floor)
+    return (
+        vectors.filter(F.col(f"`{id_column}`").isNotNull() & value.isNotNull())
+        .filter(F.forall(value, finite))
+        .select(F.col(f"`{id_column}`").cast("long").alias("id"), whole.alias("v"))
+        .withColumn("huge", F.exists("v", lambda x: F.abs(x) >= HUGE))
+    )
 
 
 def choose_pivots(vectors: DataFrame, count: int = PIVOTS) -> dict[int, np.ndarray]:
     """Pivots by dimension, each farthest from those before, out of a bounded sample."""
-    sample = vectors.orderBy(F.xxhash64("id", "v"), "id").limit(SAMPLE).collect()
+    sample = vectors.filter("NOT huge").orderBy(F.xxhash64("id", "v"), "id").limit(SAMPLE).collect()
     out = {}
     for dim in {len(row.v) for row in sample}:
         rows = np.array([row.v for row in sample if len(row.v) == dim], np.float64)
@@ -64,93 +78,125 @@ def choose_pivots(vectors: DataFrame, count: int = PIVOTS) -> dict[int, np.ndarr
 
 
 def _packer(pivots: dict[int, np.ndarray], size: int):
-    """Tables of whole vectors to blocks with their distances to the pivots."""
+    """Tables of whole vectors to blocks with their distances to the pivots.
+
+    Huge vectors have no distances, and their components travel as they came, in doubles.
+    """
 
-    def packed(dim: int, ids: list[int], rows: list[np.ndarray]) -> tuple:
-        matrix = np.array(rows, np.int32).reshape(len(rows), dim)
+    def packed(dim: int, huge: bool, ids: list[int], rows: list[list[float]]) -> tuple:
+        ids, matrix = np.array(ids, np.int64), np.array(rows, np.float64).reshape(len(rows), dim)
+        if huge:
+            return int(ids[0]), dim, huge, np.inf, ids.tobytes(), matrix.tobytes(), b""
         # The origin is the first pivot, so the first distance is the length.
         points = np.vstack([np.zeros((1, dim)), pivots.get(dim, np.zeros((0, dim)))])
         distances = np.empty((len(points), len(rows)))
         for i, point in enumerate(points):
             distances[i] = np.linalg.norm(matrix - point, axis=1)
-        return dim, np.array(ids, np.int64).tobytes(), matrix.tobytes(), distances.tobytes()
+        return int(ids[0]), dim, huge, distances[0].max(), ids.tobytes(), matrix.astype(np.int32).tobytes(), distances.tobytes()
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: dict[int, tuple[list, list]] = {}
-
-        def out(dims):
-            rows = [packed(dim, *waiting.pop(dim)) for dim in dims]
-            columns = list(zip(*rows)) if rows else [[]] * 4
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([int.from_bytes(r[1][:8], "little", signed=True) for r in rows], pa.int64()),
-                    pa.array(columns[0], pa.int32()),
-                    *[pa.array(c, pa.binary()) for c in columns[1:]],
-                ],
-                ["block", "dim", "ids", "vectors", "distances"],
-            )
+        waiting: dict[tuple[int, bool], tuple[list, list]] = {}
+
+        def out(kinds):
+            columns = list(zip(*[packed(*kind, *waiting.pop(kind)) for kind in kinds])) or [[]] * len(names)
+            types = [pa.int64(), pa.int32(), pa.bool_(), pa.float64(), *[pa.binary()] * 3]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
+        names = [field.split()[0] for field in BLOCK.split(", ")]
         for batch in batches:
-            for key, vector in zip(batch.column("id").to_pylist(), batch.column("v").to_pylist()):
-                ids, rows = waiting.setdefault(len(vector), ([], []))
+            for key, vector, huge in zip(*(batch.column(c).to_pylist() for c in ("id", "v", "huge"))):
+                kind = (len(vector), huge)
+                ids, rows = waiting.setdefault(kind, ([], []))
                 ids.append(key)
                 rows.append(vector)
                 if len(ids) == size:
-                    yield out([len(vector)])
+                    yield out([kind])
         yield out(list(waiting))
 
     return pack
 
 
 def best_of_block(query, own, lengths_q, ids, matrix, distances, k, floor):
-    """Up to ``k`` best ``(score, id)`` of one query in a block; ``floor``: a score to reach.
+    """Up to ``k`` best scores and ids of one query in a block, and how many were evaluated.
 
-    ``distances`` and ``lengths_q`` start with the vectors' own lengths.
+    ``floor`` is a score to reach; ``distances`` and ``lengths_q`` start with the vectors' own
+    lengths.
     """
     low = np.abs(distances - lengths_q[:, None]).max(axis=0)
-    squares = distances[0] ** 2 + lengths_q[0] ** 2
-    bound = (squares - low**2) / 2 + 1e-9 * squares + 1e-6
+    bound = upper(distances[0], lengths_q[0], low)
     bound[ids == own] = -np.inf
     order = np.argsort(-bound, kind="stable")
     order = order[: int(np.searchsorted(-bound[order], np.inf))]
     best_scores, best_ids = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    evaluated = 0
     for at in range(0, len(order), STEP):
         worst = max(floor, best_scores[-1] if len(best_scores) == k else floor)
         if bound[order[at]] < worst:
             break
         some = order[at : at + STEP]
+        evaluated += len(some)
         scores = np.concatenate([best_scores, matrix[some] @ query])
         found = np.concatenate([best_ids, ids[some]])
         top = np.lexsort((found, -scores))[:k]
         best_scores, best_ids = scores[top], found[top]
-    return best_scores, best_ids
+    return best_scores, best_ids, evaluated
+
+
+def upper(length, length_q, low):
+    """The most that the inner product of vectors of these lengths, at least ``low`` apart, can be."""
+    squares = length**2 + length_q**2
+    return (squares - low**2) / 2 + 1e-9 * squares + 1e-6
+
+
+def most_of_block(near, distances):
+    """An upper bound of every query's scores in a block, from the ranges of its distances."""
+    least, most = distances.min(axis=1)[:, None], distances.max(axis=1)[:, None]
+    low = np.maximum(np.maximum(least - near, near - most), 0).max(axis=0)
+    return upper(most[0], near[0], low)
+
+
+def _exact(queries: np.ndarray, owns: np.ndarray, matrix: np.ndarray, ids: np.ndarray, k: int):
+    """The best of every query in a block, in whole numbers of any size."""
+    whole = [[int(x) for x in row] for row in matrix]
+    for query, own in zip(queries, owns):
+        wanted = [int(x) for x in query]
+        scored = ((-sum(a * b for a, b in zip(wanted, row)), key) for row, key in zip(whole, ids.tolist()) if key != own)
+        best = heapq.nsmallest(k, scored)
+        if any(not -(1 << 63) <= -score < 1 << 63 for score, _ in best):
+            raise OverflowError(f"a score of vector {own} does not fit 64 bits")
+        yield np.full(len(best), own), np.array([key for _, key in best], np.int64), np.array([-s for s, _ in best], np.int64)
 
 
 def _search(k: int):
     """Pairs of a block of queries and a block of candidates to the best of each query."""
 
+    def vectors(data: bytes, huge: bool, dim: int, count: int) -> np.ndarray:
+        kind = np.float64 if huge else np.int32
+        return np.frombuffer(data, kind).reshape(count, dim).astype(np.float64 if huge else np.int64)
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, floors = None, None
         for batch in batches:
-            for row in batch.to_pylist():
-                dim = row["dim"]
-                queries = np.frombuffer(row["q_vectors"], np.int32).reshape(-1, dim).astype(np.int64)
-                owns = np.frombuffer(row["q_ids"], np.int64)
-                near = np.frombuffer(row["q_distances"]).reshape(-1, len(owns))
-                ids = np.frombuffer(row["ids"], np.int64)
-                matrix = np.frombuffer(row["vectors"], np.int32).reshape(-1, dim).astype(np.int64)
-                distances = np.frombuffer(row["distances"]).reshape(-1, len(ids))
-                if row["q_ids"] != block:
-                    block, floors = row["q_ids"], np.full(len(owns), np.iinfo(np.int64).min)
-                out = []
-                for i, own in enumerate(owns):
-                    scores, found = best_of_block(
-                        queries[i], own, near[:, i], ids, matrix, distances, k, floors[i]
-                    )
-                    if len(scores) == k:
-                        floors[i] = max(floors[i], scores[-1])
-                    out.append((np.full(len(found), own), found, scores))
-                columns = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in zip(*out)]
+            for nr in range(batch.num_rows):
+                row = {name: batch.column(name)[nr].as_py() for name in batch.schema.names}
+                dim, either = row["dim"], row["huge"] or row["q_huge"]
+                owns, ids = np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["ids"], np.int64)
+                queries = vectors(row["q_vectors"], row["q_huge"], dim, len(owns))
+                matrix = vectors(row["vectors"], row["huge"], dim, len(ids))
+                if either:
+                    out = list(_exact(queries, owns, matrix, ids, k))
+                else:
+                    near = np.frombuffer(row["q_distances"]).reshape(-1, len(owns))
+                    distances = np.frombuffer(row["distances"]).reshape(-1, len(ids))
+                    if row["q_ids"] != block:
+                        block, floors = row["q_ids"], np.full(len(owns), np.iinfo(np.int64).min)
+                    out = [(np.zeros(0, np.int64),) * 3]
+                    for i in np.flatnonzero(most_of_block(near, distances) >= floors):
+                        scores, found, _ = best_of_block(queries[i], owns[i], near[:, i], ids, matrix, distances, k, floors[i])
+                        if len(scores) == k:
+                            floors[i] = max(floors[i], scores[-1])
+                        out.append((np.full(len(found), owns[i]), found, scores))
+                columns = [np.concatenate(x) for x in zip(*out)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"]
                 )
@@ -171,8 +217,9 @@ def top_k(
     Scores are inner products of ``floor(scale * x)``, as longs; ties go to the smaller id. A
     query's own id is no candidate of it.
 
-    * Rows with a null id, and vectors that are null, empty or hold null, non-finite or huge
-      components (``floor`` of 2**27 or more, whose scores need not fit a long), take no part.
+    * Rows with a null id, and vectors that are null or hold null or non-finite components,
+      take no part. A component may be of any size; a score among the best that does not fit a
+      long is an error. Empty vectors score 0 with each other.
     * Vectors of another dimension than the query are no candidates.
     * A query id that repeats is one query, with the smallest of its vectors; repeated
       candidate rows count each. Other columns are not read. Empty tables give no rows.
@@ -180,7 +227,10 @@ def top_k(
     spark = candidates.sparkSession
     rows = whole_numbers(candidates, id_column, vector, scale)
     asked = (
-        whole_numbers(queries, id_column, vector, scale).groupBy("id").agg(F.min("v").alias("v"))
+        whole_numbers(queries, id_column, vector, scale)
+        .groupBy("id")
+        .agg(F.min(F.struct("v", "huge")).alias("least"))
+        .select("id", "least.*")
     )
     pivots, slices = choose_pivots(rows), partitions(spark)
     blocks = rows.mapInArrow(_packer(pivots, CANDIDATES), BLOCK).withColumn(
@@ -188,12 +238,16 @@ def top_k(
     )
     query_blocks = asked.mapInArrow(_packer(pivots, QUERIES), BLOCK).select(
         "dim",
-        *[F.col(c).alias(f"q_{c}") for c in ("ids", "vectors", "distances")],
+        *[F.col(c).alias(f"q_{c}") for c in ("huge", "ids", "vectors", "distances")],
         F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"),
     )
+    # The merge join goes through all candidate blocks of a slice for one query block, and in
+    # this order, so the scores to reach rise early and hold for the rest.
+    ordered = blocks.repartition(slices, "slice", "dim").sortWithinPartitions("slice", "dim", F.desc("longest"), "block")
     found = (
-        blocks.repartition(slices, "slice", "dim")
-        .join(query_blocks, ["slice", "dim"])
+        query_blocks.hint("merge")
+        .join(ordered, ["slice", "dim"])
+        .select("dim", "huge", "ids", "vectors", "distances", "q_huge", "q_ids", "q_vectors", "q_distances")
         .mapInArrow(_search(k), "query_id long, vec_id long, score long")
     )
     place = F.row_number().over(
