@@ -19,9 +19,8 @@ from pyspark.sql import functions as F
 
 from pulsetide.llm.common import table, written
 
-#: Edits allowed, and the least and most characters of a line that takes part in more than
-#: equality. The query has no most: it is the default of ``line_decisions`` alone.
-THRESHOLD, LEAST, MOST = 2, 20, 10_000
+#: Edits allowed, and the least characters of a line that takes part in more than equality.
+THRESHOLD, LEAST = 2, 20
 
 #: The built-in edit distance walks a line quadratically, whatever the threshold, so lines of
 #: more characters are verified by ``within``. Results do not depend on it.
@@ -166,7 +165,7 @@ def line_decisions(
     text: str = "text",
     threshold: int = THRESHOLD,
     least: int = LEAST,
-    most: int | None = MOST,
+    most: int | None = None,
 ) -> DataFrame:
     """A row per document (row of ``docs``): ``rid``, its id, ``n_lines``, ``dropped_lines``.
 
@@ -174,7 +173,7 @@ def line_decisions(
     Of equal lines the first stays: that of the smallest id (null first), then line number.
     It goes too if any earlier line, kept or not, is within ``threshold`` edits (insertions,
     deletions and replacements of characters) and both have ``least`` to ``most`` characters
-    (None: any number more); shorter and longer lines go for equality only.
+    (None: any number); shorter and longer lines go for equality only.
 
     * A null text has no lines; an empty one has one empty line. Texts may be of any length.
     * Rows that repeat are documents of their own, in any order. Other columns are not read.
@@ -278,18 +277,17 @@ def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
 
     Rows are matched by id and text, so rows that repeat both need not be told apart: the
     first of them keeps its lines, the others lose them, in any order. A null text stays null.
-    Lines have no most unless ``how`` names one.
+    Columns may have any names but those with two leading underscores used here.
     """
-    how = {"most": None, **how}
     numbered = written(docs.withColumn("__rid", F.monotonically_increasing_id()), "numbered")
     # The decision names a row by the number it is given here, in place of the id's tie-breaker.
     decided = line_decisions(
         numbered.withColumn("__id", F.struct(F.col(f"`{id_column}`"), "__rid")), "__id", text, **how
-    ).select(F.col("__id.__rid").alias("__rid"), "dropped_lines")
+    ).select(F.col("__id.__rid").alias("__rid"), F.col("dropped_lines").alias("__dropped"))
     kept = F.expr(
-        f"array_join(filter(split(`{text}`, '\\n', -1), (x, i) -> NOT array_contains(dropped_lines, i)), '\\n')"
+        f"array_join(filter(split(`{text}`, '\\n', -1), (x, i) -> NOT array_contains(__dropped, i)), '\\n')"
     )
-    whole = F.when(F.size("dropped_lines") > 0, kept).otherwise(F.col(f"`{text}`"))
+    whole = F.when(F.size("__dropped") > 0, kept).otherwise(F.col(f"`{text}`"))
     return (
         numbered.join(decided, "__rid").withColumn(text, whole).select(*[F.col(f"`{c}`") for c in docs.columns])
     )
@@ -298,7 +296,7 @@ def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
 def op8_line_dedup(spark, sf_dir):
     """Near-repeated lines of the whole of ``documents``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_decisions(docs, most=None).select(
+    return line_decisions(docs).select(
         "doc_id", "n_lines", F.size("dropped_lines").cast("long").alias("n_dropped"),
         F.array_join(F.col("dropped_lines").cast("array<string>"), ",").alias("dropped_lines"),
     )
@@ -311,9 +309,9 @@ WITH lines AS (
 placed AS (SELECT *, row_number() OVER (ORDER BY doc_id, line_no) AS place FROM lines),
 firsts AS (SELECT line, min(place) AS first, length(line) AS n FROM placed WHERE regexp_matches(line, '\S') GROUP BY line),
 near AS (
-  SELECT DISTINCT x.line FROM (SELECT *, unnest([-2, -1, 0, 1, 2]) AS d FROM firsts WHERE n BETWEEN 20 AND 10000) x JOIN firsts y
+  SELECT DISTINCT x.line FROM (SELECT *, unnest([-2, -1, 0, 1, 2]) AS d FROM firsts WHERE n >= 20) x JOIN firsts y
     ON y.n = x.n + x.d AND y.first < x.first
-  WHERE y.n BETWEEN 20 AND 10000 AND levenshtein(x.line, y.line) <= 2),
+  WHERE y.n >= 20 AND levenshtein(x.line, y.line) <= 2),
 dropped AS (
   SELECT doc_id, list(line_no ORDER BY line_no) AS d FROM placed l JOIN firsts f USING (line)
   WHERE l.place <> f.first OR line IN (SELECT line FROM near) GROUP BY doc_id)
