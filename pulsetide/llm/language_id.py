@@ -6,6 +6,7 @@ numpy by backpropagation through time, on the driver, on a sample whose size is
 parameters; prediction runs over whole texts where their rows are.
 """
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,12 +18,14 @@ from pyspark.sql import functions as F
 
 from pulsetide.llm.common import blocks, ragged, table, text_buffers
 
-#: Bounds of the training sample: languages (the most frequent), documents of each that are
-#: expected (twice as many at most), pieces of a document, bytes of a piece.
-LANGUAGES, DOCUMENTS, PIECES, PIECE = 256, 300, 16, 48
+#: Bounds of the training sample: documents of a language that are expected (twice as many at
+#: most), pieces of a document, bytes of a piece. Every language is learned.
+DOCUMENTS, PIECES, PIECE = 300, 16, 48
 
-#: State of each direction, training steps, pieces in a step, learning rate.
-HIDDEN, STEPS, BATCH, RATE = 8, 250, 192, 0.02
+#: Pieces in a training step, learning rate, and what states and steps follow the number of
+#: languages from: for up to eight languages, and for each further eight as many steps more.
+BATCH, RATE = 192, 0.02
+HIDDEN, STEPS, EACH = 8, 250, 8
 
 #: Bytes of a segment in prediction, and segments run side by side.
 SEGMENT, LANES = 128, 2048
@@ -207,15 +210,20 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def learn(labelled: DataFrame, hidden: int = HIDDEN, steps: int = STEPS) -> Network | None:
+def sizes(languages: int) -> tuple[int, int]:
+    """States of a direction and training steps for so many languages."""
+    eights = -(-languages // EACH)
+    return HIDDEN * max(1, math.ceil(math.log2(max(languages, 2)) / 3)), STEPS * eights
+
+
+def learn(labelled: DataFrame, hidden: int | None = None, steps: int | None = None) -> Network | None:
     """A network for the languages of ``labelled`` (``doc_id, text, lang``); None without any.
 
-    The sample is drawn by a hash of the id, so it does not depend on how rows are stored.
+    All languages are learned, however rare; the network and its training grow with their
+    number (``sizes``) unless ``hidden`` and ``steps`` say otherwise. The sample is drawn by a hash of the id, so it does not depend on how rows are stored.
     """
     labelled = labelled.filter("lang IS NOT NULL AND text IS NOT NULL")
-    counts = (
-        labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    )
+    counts = labelled.groupBy("lang").count().collect()
     if not counts:
         return None
     share = F.create_map(*[F.lit(x) for row in counts for x in (row["lang"], DOCUMENTS / row["count"])])
@@ -230,8 +238,9 @@ def learn(labelled: DataFrame, hidden: int = HIDDEN, steps: int = STEPS) -> Netw
     for i, (_, piece) in enumerate(rows):
         codes[i, : len(piece)] = _CODES[np.frombuffer(piece, np.uint8)]
     labels = np.array([languages.index(lang) for lang, _ in rows])
-    network = Network.fresh(languages, hidden)
-    network.train(codes, labels, steps, BATCH, RATE)
+    states, rounds = sizes(len(languages))
+    network = Network.fresh(languages, hidden or states)
+    network.train(codes, labels, steps or rounds, BATCH, RATE)
     return network
 
 
