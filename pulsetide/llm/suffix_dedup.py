@@ -107,33 +107,37 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
 
     Larsson-Sadakane: sort by eight bytes, then refine the groups that are still equal by the
     ranks ``h`` places on, doubling ``h``; groups of one are left alone. A rank is the first
-    index of a group.
+    index of a group. Places and ranks are 32-bit numbers unless the text is longer.
     """
+    count = len(text)
+    small = np.int32 if count < 1 << 31 else np.int64
     key = eight_bytes(text)
-    order = np.argsort(key, kind="stable")
-    count, index = len(text), np.arange(len(text))
-    ordered = key[order]
+    order = np.argsort(key, kind="stable").astype(small)
+    key = key[order]
     opens = np.ones(count, bool)
-    opens[1:] = ordered[1:] != ordered[:-1]
-    rank = np.empty(count, np.int64)
-    rank[order] = np.maximum.accumulate(np.where(opens, index, 0))
+    opens[1:] = key[1:] != key[:-1]
+    del key
+    rank = np.empty(count, small)
+    rank[order] = np.maximum.accumulate(np.where(opens, np.arange(count, dtype=small), small(0)))
     h = 8
     while h < depth:
         alone = opens & np.append(opens[1:], True)
-        open_ = np.flatnonzero(~alone)
+        open_ = np.flatnonzero(~alone).astype(small)
         if not len(open_):
             break
         places = order[open_]
-        ahead = places + h
-        after = np.where(ahead < count, rank[np.minimum(ahead, count - 1)] + 1, 0)
-        both = rank[places] * (count + 1) + after
+        both = rank[places].astype(np.int64) * (count + 1)
+        further = np.flatnonzero(places < count - h)
+        both[further] += rank[places[further] + small(h)] + np.int64(1)
         turn = np.argsort(both, kind="stable")
         both, places = both[turn], places[turn]
+        del turn
         order[open_] = places
         new = np.ones(len(open_), bool)
         new[1:] = both[1:] != both[:-1]
+        del both
         opens[open_] = new
-        rank[places] = open_[np.maximum.accumulate(np.where(new, np.arange(len(open_)), 0))]
+        rank[places] = open_[np.maximum.accumulate(np.where(new, np.arange(len(open_), dtype=small), small(0)))]
         h *= 2
     return order
 
@@ -147,12 +151,12 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, most: int, run: int = 2
     from them to the next place.
     """
     count = len(text)
-    at = np.empty(count, np.int64)
-    at[order] = np.arange(count)
+    at = np.empty(count, order.dtype)
+    at[order] = np.arange(count, dtype=order.dtype)
     key = eight_bytes(text)
     lanes = np.arange(0, count, run)
     found = np.zeros(len(lanes), np.int64)
-    prefixes = np.zeros(count, np.int64)
+    prefixes = np.zeros(count, np.int32)
     for step in range(run):
         here = lanes + step
         some = np.flatnonzero(here < count)
@@ -160,7 +164,7 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, most: int, run: int = 2
         first = index == 0
         found[some[first]] = 0
         some, index = some[~first], index[~first]
-        a, b = here[some], order[index - 1]
+        a, b = here[some], order[index - 1].astype(np.int64)
         h = np.maximum(found[some] - 1, 0)
         h[found[some] >= most] = 0
         room = np.minimum(count - np.maximum(a, b), most)
@@ -413,7 +417,17 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _spans(width: int, buckets: int, carry_text: bool):
+def to_characters(text: np.ndarray, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ordered stretches widened to whole UTF-8 characters."""
+    inner = np.append((text & 0xC0) == 0x80, False)
+    while (split := inner[first] & (first > 0)).any():
+        first = first - split
+    while (split := inner[end]).any():
+        end = end + split
+    return first, end
+
+
+def _spans(width: int, buckets: int, carry_text: bool, whole_characters: bool):
     """Shards with their masks to the repeated stretches of every text, and what is left."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -432,9 +446,12 @@ def _spans(width: int, buckets: int, carry_text: bool):
                     starts = shard.starts[some][twice[shard.of[some]]] - shard.base[i]
                     first, end = covered(starts, width)
                     text = shard.texts[shard.base[i] : shard.base[i] + shard.lengths[i]]
-                    gone = np.zeros(len(text) + 1, np.int8)
-                    gone[first] = 1
-                    gone[end[end < len(text)]] -= 1
+                    if whole_characters:
+                        first, end = to_characters(text, first, end)
+                    # Widened stretches may meet, but they never overlap by more than a character.
+                    gone = np.zeros(len(text) + 1, np.int32)
+                    np.add.at(gone, first, 1)
+                    np.add.at(gone, end, -1)
                     left = text[np.cumsum(gone[:-1]) == 0].tobytes()
                     out.append((owner, first.tolist(), end.tolist(), hashlib.sha256(left).digest(), left if carry_text else None))
                 columns = zip(*out)
@@ -447,12 +464,20 @@ def _spans(width: int, buckets: int, carry_text: bool):
     return run
 
 
-def repeated_spans(docs: DataFrame, width: int = WIDTH, text: str = "text", carry_text: bool = True) -> DataFrame:
+def repeated_spans(
+    docs: DataFrame,
+    width: int = WIDTH,
+    text: str = "text",
+    carry_text: bool = True,
+    whole_characters: bool = False,
+) -> DataFrame:
     """Every row of ``docs`` with its repeated stretches and what is left of its text.
 
-    Without ``carry_text`` the text column is left out. Added are ``n_bytes``, ``span_starts`` and ``span_ends`` (byte offsets of the maximal
+    Without ``carry_text`` the text column is left out. With ``whole_characters`` a stretch
+    that begins or ends inside a UTF-8 character takes all of it, so what is left is text; two
+    stretches may then touch. Added are ``n_bytes``, ``span_starts`` and ``span_ends`` (byte offsets of the maximal
     removed stretches), ``kept_sha256`` and, with ``carry_text``, ``left`` (the remaining
-    bytes; cut characters are cut). Columns of these names are replaced.
+    bytes; without ``whole_characters``, cut characters are cut). Columns of these names are replaced.
 
     * A null text is empty. Texts shorter than ``width`` keep all their bytes, whatever else
       repeats. Strings never reach over the end of a text. Texts may be of any length.
@@ -499,7 +524,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, text: str = "text", carr
     by_shard = masks.groupBy("shard").agg(F.collect_list(F.struct("bucket", "mask")).alias("masks"))
     spans = written(
         shards.join(by_shard, "shard").mapInArrow(
-            _spans(width, buckets, carry_text),
+            _spans(width, buckets, carry_text, whole_characters),
             "owner long, span_starts array<int>, span_ends array<int>, kept_sha binary, left binary",
         ),
         "spans",

@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import math
 import random
 
 import numpy as np
@@ -15,7 +16,7 @@ from pulsetide.llm.exact_dedup import exact_dedup
 from pulsetide.llm.line_dedup import class_keys, class_of, dedup_lines, line_decisions, within
 from pulsetide.llm.ngram_jaccard import FANOUT, Tree, _unit_pairs, folded, jaccard_components, linked, point, tree_pairs
 from pulsetide.llm.suffix_dedup import repeated_spans
-from pulsetide.llm.topk_search import top_k
+from pulsetide.llm.topk_search import best_of_block, most_of_block, top_k
 from pulsetide.llm.url_filters import filter_urls
 from pulsetide.llm.warc_revisits import CAPTURE, canonical_url, resolve_revisits
 
@@ -75,10 +76,49 @@ def test_top_k(spark):
         want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:5])]
     assert sorted(map(tuple, got)) == sorted(want)
     assert top_k(frame.limit(0), frame.limit(0), 5).count() == 0
+    assert top_k(frame.filter("vec_id IN (303)"), frame.filter("vec_id = 303"), 5).count() == 0
     few = frame.filter("vec_id < 3")
     assert top_k(few, few.filter("vec_id = 0"), 5).count() == 2
 
 
+def test_top_k_of_components_of_any_size(spark):
+    rnd = random.Random(8)
+    rows = [(i, [rnd.uniform(-2, 2) for _ in range(4)]) for i in range(130)]
+    rows[50] = (50, [600_000.0, -1.5, 0.25, 3.0])
+    rows[70], rows[71] = (70, [-7e6, 0.0, 1e9, 2.0]), (71, [524_288.0, 0.0, 0.0, 0.0])
+    rows += [(200, [1e30, 0.0, 0.0, 0.0]), (201, [])]
+    whole = {i: [int(np.floor(256 * np.float64(x))) for x in v] for i, v in rows}
+    got = top_k(spark.createDataFrame([r for r in rows if r[0] < 200], "vec_id long, embedding array<double>"), spark.createDataFrame(rows[:101:50], "vec_id long, embedding array<double>"), 5)
+    want = []
+    for q in (0, 50, 100):
+        scored = sorted((-sum(a * b for a, b in zip(whole[q], whole[i])), i) for i in range(130) if i != q)
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:5])]
+    assert sorted(map(tuple, got.collect())) == sorted(want) and any(r[0] == 50 for r in want)
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        top_k(frame, frame.filter("vec_id = 200"), 5).collect()
+
+
+def test_pivots_spare_evaluations():
+    rng = np.random.default_rng(3)
+    centres = rng.normal(0, 300, (12, 16))
+    rows = np.floor(centres[rng.integers(12, size=3000)] + rng.normal(0, 20, (3000, 16))).astype(np.int64)
+    points = np.vstack([np.zeros((1, 16)), rows[:20]])
+    distances = np.stack([np.linalg.norm(rows - p, axis=1) for p in points])
+    ids, counts = np.arange(3000), []
+    for own in range(0, 3000, 300):
+        scores, found, with_pivots = best_of_block(rows[own], own, distances[:, own], ids, rows, distances, 5, -(1 << 62))
+        _, same, by_length = best_of_block(rows[own], own, distances[:1, own], ids, rows, distances[:1], 5, -(1 << 62))
+        brute = sorted((-int(rows[own] @ rows[i]), i) for i in range(3000) if i != own)[:5]
+        assert [(-s, i) for s, i in zip(scores, found)] == brute and list(same) == list(found)
+        counts.append((with_pivots, by_length))
+        # A score to reach from another block spares the whole block.
+        assert most_of_block(distances[:, own : own + 1], distances)[0] >= scores[0]
+        assert best_of_block(rows[own], own, distances[:, own], ids, rows, distances, 5, 1 << 62)[2] == 0
+    ours, lengths = map(sum, zip(*counts))
+    assert ours < lengths / 2 and ours < 3000 * len(counts) / 4
+
+
 def test_jaccard_edges(spark):
     base = [f"t{i}" for i in range(60)]
     near = [*base[:50], "other", *base[51:]]
@@ -236,13 +276,74 @@ def test_patterns_hold_every_length():
     assert len(set(seen)) == len(seen)
 
 
-def distance(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        row, old = [i], row
-        for j, y in enumerate(b, 1):
-            row.append(min(old[j] + 1, row[-1] + 1, old[j - 1] + (x != y)))
-    return row[-1]
+def distance(a, b, most=2):
+    """Edit distance, or one more than ``most`` where it is larger."""
+    row = {j: j for j in range(most + 1)}
+    for i in range(1, len(a) + 1):
+        old, row = row, {}
+        for j in range(max(0, i - most), min(len(b), i + most) + 1):
+            ways = [old.get(j, most) + 1, row.get(j - 1, most) + 1]
+            if j and j - 1 in old:
+                ways.append(old[j - 1] + (a[i - 1] != b[j - 1]))
+            row[j] = min(ways) if i and (j or i) else 0
+        if not row:
+            return most + 1
+    return min(row.get(len(b), most + 1), most + 1)
+
+
+def test_network_equals_plain_python(monkeypatch):
+    monkeypatch.setattr(language_id, "SEGMENT", 8)
+    monkeypatch.setattr(language_id, "LANES", 3)
+    network = language_id.Network.fresh(["a", "b", "c"], 3, seed=4)
+
+    def states(side, codes):
+        h, out = [0.0] * 3, []
+        for code in codes:
+            added = [float(side.inputs[r][code]) for r in range(9)]
+            own = [sum(float(side.state[r][j]) * h[j] for j in range(3)) for r in range(9)]
+            update, reset = ([1 / (1 + math.exp(-2 * (added[g + i] + own[g + i]))) for i in range(3)] for g in (0, 3))
+            new = [math.tanh(added[6 + i] + reset[i] * own[6 + i]) for i in range(3)]
+            h = [update[i] * h[i] + (1 - update[i]) * new[i] for i in range(3)]
+            out.append(h)
+        return out
+
+    texts = ["", "x", "ABC abc!", "nine byte", "é" * 13 + "Zz", "one two three four five six seven"]
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    found = network.documents(raw, offsets)
+    for text, got in zip(texts, found):
+        codes = [c + 32 if 65 <= c <= 90 else c for c in text.encode()]
+        sums = [0.0] * 3
+        for at in range(0, len(codes), 8):
+            part = codes[at : at + 8]
+            ahead, behind = states(network.forward, part), states(network.backward, part[::-1])[::-1]
+            for seen, coming in zip(ahead, behind):
+                values = [sum(float(w) * v for w, v in zip(line, [*seen, *coming, 1.0])) for line in network.out]
+                total = sum(map(math.exp, values))
+                sums = [s + math.exp(v) / total for s, v in zip(sums, values)]
+        want = [s / max(len(codes), 1) for s in sums]
+        assert np.allclose(got, want, atol=1e-5), text
+
+
+def test_every_language_is_learned(spark):
+    assert language_id.sizes(4) == (8, 250) and language_id.sizes(8) == (8, 250) and language_id.sizes(300)[1] == 38 * 250
+    rows = [(i, chr(97 + i % 20) * 60, f"l{i % 20:02}") for i in range(60)] + [(100, "rare ŵŵŵŵ ŵŵŵŵ", "rare"), (101, None, "none"), (102, "a", None)]
+    labelled = spark.createDataFrame([*rows, *rows[:5]], "doc_id long, text string, lang string")
+    network = language_id.learn(labelled, steps=2)
+    assert network.languages == sorted({f"l{i:02}" for i in range(20)} | {"rare"}) and network.forward.state.shape[1] == 16
+    got = language_id.identify(labelled, network).collect()
+    assert len(got) == 68 and len({(r.lang_pred, r.score) for r in got if r.doc_id == 1}) == 1
+    assert language_id.learn(labelled.limit(0)) is None and language_id.identify(labelled.limit(0), network).count() == 0
+
+
+def test_a_long_line_and_its_near_copy(spark):
+    rnd = random.Random(12)
+    long = "".join(rnd.choice("abcdefg ") for _ in range(12_000))
+    rows = [(1, long), (2, long[:6_000] + "Z" + long[6_001:]), (3, long[:-1]), (4, long[3:]), (5, long[::-1])]
+    frame = docs(spark, rows).selectExpr("*", "'x' AS dropped_lines", "1 AS line_no", "2 AS n_lines")
+    assert {r.doc_id: r.dropped_lines for r in line_decisions(frame).collect()} == {1: [], 2: [0], 3: [0], 4: [], 5: []}
+    kept = {r.doc_id: (r.text, r.dropped_lines) for r in dedup_lines(frame).collect()}
+    assert kept[2] == ("", "x") and kept[1] == (long, "x")
 
 
 def test_lines_against_brute_force(spark):
@@ -263,8 +364,8 @@ def test_lines_against_brute_force(spark):
     for known, k, n, line in sorted(place):
         firsts.setdefault(line, (known, k, n))
     close = {
-        x for x, at in firsts.items() if 20 <= len(x) <= 10_000 and x.strip()
-        and any(20 <= len(y) <= 10_000 and y.strip() and firsts[y] < at and abs(len(x) - len(y)) <= 2 and distance(x, y) <= 2 for y in firsts if y != x)
+        x for x, at in firsts.items() if 20 <= len(x) and x.strip()
+        and any(20 <= len(y) and y.strip() and firsts[y] < at and abs(len(x) - len(y)) <= 2 and distance(x, y) <= 2 for y in firsts if y != x)
     }
     for k, text in rows:
         lines = (text or "").split("\n")
@@ -330,7 +431,7 @@ def test_edits_of_long_lines(spark):
     frame = spark.createDataFrame(pairs, "x string, y string")
     for threshold in (0, 1, 2, 3):
         got = frame.select("x", "y", within(F.col("x"), F.col("y"), threshold).alias("near")).collect()
-        assert [r.near for r in got] == [distance(r.x, r.y) <= threshold for r in got]
+        assert [r.near for r in got] == [distance(r.x, r.y, 4) <= threshold for r in got]
     line = "é" + LONG
     rows = [(1, line), (2, line[1:-1]), (3, "q" + line + "q" + "q"), (4, line[:5] + line[6:90_000] + "é" + line[90_000:]), (5, LONG[::-1]), (6, "short " * 4 + "\n" + line)]
     dropped = {r.doc_id: r.dropped_lines for r in line_decisions(docs(spark, rows), most=None).collect()}
