@@ -44,11 +44,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the strings of 200 bytes that start anywhere else too.
 
-    A character of which only a part remains goes too, and so does a document of which only
-    white space remains. Texts without such a string are not touched.
+    A character that such a string covers in part goes as a whole, and so does a document of
+    which only white space remains. All else of the texts stays as it is.
     """
-    found = repeated_spans(docs)
-    left = F.regexp_replace(F.make_valid_utf8(F.col("left").cast("string")), "�", "")
+    found = repeated_spans(docs, whole_characters=True)
+    left = F.col("left").cast("string")
     cut = F.size("span_starts") > 0
     return (
         found.withColumn("text", F.when(cut, left).otherwise(F.col("text")))
