@@ -35,6 +35,7 @@ QUERIES = {
 ORACLES = {
     "op1_url_filters": url_filters.ORACLE,
     "op2_ngram_jaccard": ngram_jaccard.ORACLE,
+    "op3_suffix_array_dedup": suffix_dedup.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op7_warc_revisits": warc_revisits.ORACLE,
     "op8_line_dedup": line_dedup.ORACLE,

@@ -568,3 +568,25 @@ def op3_suffix_array_dedup(spark, sf_dir):
         F.size("span_starts").cast("long").alias("n_spans"),
         "kept_sha256",
     )
+
+
+ORACLE = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+sized AS (SELECT *, octet_length(b) AS n FROM texts),
+starts AS (SELECT rid, s, md5_number(array_slice(b, s + 1, s + 200)) AS h FROM (SELECT rid, b, unnest(range(n - 199)) AS s FROM sized)),
+again AS (SELECT h FROM starts GROUP BY h HAVING count(*) > 1),
+hits AS (SELECT rid, s FROM starts WHERE h IN (SELECT h FROM again)),
+fresh AS (SELECT *, s > lag(s, 1, -201) OVER w + 200 AS opens FROM hits WINDOW w AS (PARTITION BY rid ORDER BY s)),
+runs AS (SELECT rid, s, sum(opens::int) OVER (PARTITION BY rid ORDER BY s) AS run FROM fresh),
+spans AS (SELECT rid, min(s) AS a, max(s) + 200 AS z FROM runs GROUP BY rid, run),
+pieces AS (
+  SELECT rid, a, hex(array_slice(b, lag(z, 1, 0) OVER (PARTITION BY rid ORDER BY a) + 1, a)) AS kept, z - a AS gone, z
+  FROM spans JOIN sized USING (rid)),
+found AS (
+  SELECT rid, string_agg(kept, '' ORDER BY a) AS kept, sum(gone)::bigint AS gone, count(*) AS spans, max(z) AS z
+  FROM pieces GROUP BY rid)
+SELECT doc_id, n::bigint AS n_bytes, coalesce(gone, 0)::bigint AS n_removed, coalesce(spans, 0)::bigint AS n_spans,
+  sha256(unhex(coalesce(kept, '') || hex(array_slice(b, coalesce(z, 0) + 1, n)))) AS kept_sha256
+FROM sized LEFT JOIN found USING (rid)
+"""
