@@ -13,17 +13,22 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 from tokenizers import Regex, Tokenizer
 from tokenizers.models import BPE
 from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
 
-from pulsetide.llm.common import ragged, table, text_buffers
+from pulsetide.llm.common import blocks, ragged, table, written
 from pulsetide.llm.subwords import Pieces
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
+#: Ids that are decoded at once; a longer list is a block of its own.
+BLOCK_IDS = 1 << 18
+
 
 def byte_characters() -> list[str]:
     """The printable character that stands for each byte in a vocabulary of the library.
@@ -90,14 +95,19 @@ class ByteTable:
         """Byte offset after each id."""
         return np.cumsum(self.lengths[ids])
 
-    def character_spans(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First character and the one after the last that each id's bytes touch."""
+    def character_spans(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First character and the one after the last that each id's bytes touch.
+
+        Ids of many texts may come at once, each from one of ``bounds`` to the next; the
+        characters of every text are counted from 0.
+        """
         raw = self.decode(ids)
         opening = np.append((raw & 0xC0) != 0x80, True)
         character = np.cumsum(opening) - 1  # of each byte; the end counts as one more
         ends = self.ends(ids)
         starts = ends - self.lengths[ids]
-        return character[starts], character[np.maximum(ends - 1, starts)] + (ends > starts)
+        before = np.repeat(character[np.append(0, ends)[bounds[:-1]]], np.diff(bounds))
+        return character[starts] - before, character[np.maximum(ends - 1, starts)] + (ends > starts) - before
 
 
 _tables: dict[str, ByteTable] = {}
@@ -134,7 +144,10 @@ def encode(docs: DataFrame, described: str, text: str = "text", offsets: bool =
             ids, bounds = pieces.encode(batch.column(text))
             lists = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.astype(np.int32)))]
             if offsets:
-                spans = [table_.character_spans(ids[a:b]) for a, b in zip(bounds, bounds[1:])]
+                spans = [
+                    table_.character_spans(ids[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])
+                    for a, b in blocks(bounds, BLOCK_IDS)
+                ]
                 for side in (0, 1):
                     flat = np.concatenate([np.zeros(0, np.int64), *[s[side] for s in spans]])
                     lists.append(
@@ -148,11 +161,21 @@ def encode(docs: DataFrame, described: str, text: str = "text", offsets: bool =
     return docs.mapInArrow(run, schema)
 
 
+def id_lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a column of lists, and where each list starts in them; a null list is empty."""
+    flat = column.flatten()
+    if flat.null_count:
+        raise ValueError("a list of ids holds a null")
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    return flat.to_numpy(zero_copy_only=False).astype(np.int64), np.append(0, np.cumsum(sizes, dtype=np.int64))
+
+
 def decode(rows: DataFrame, described: str, ids: str = "ids") -> DataFrame:
     """Every row with ``decoded``, the bytes of its ids.
 
     Bytes, not text: a slice of ids may start or end inside a character. ``text_of`` turns
-    them into text. Null ids decode to no bytes; ids that the vocabulary lacks are an error.
+    them into text. Null and empty lists decode to no bytes; ids that the vocabulary lacks, and
+    nulls in a list, are an error. A column ``decoded`` is replaced.
     """
     kept = [c for c in rows.columns if c != "decoded"]
     shared = rows.sparkSession.sparkContext.broadcast(described)
@@ -160,10 +183,13 @@ def decode(rows: DataFrame, described: str, ids: str = "ids") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table_ = _byte_table(shared.value)
         for batch in batches:
-            out = [
-                table_.decode(np.array(x or [], np.int64)).tobytes()
-                for x in batch.column(ids).to_pylist()
-            ]
+            flat, bounds = id_lists(batch.column(ids))
+            out = []
+            for first, last in blocks(bounds, BLOCK_IDS):
+                some = flat[bounds[first] : bounds[last]]
+                raw = table_.decode(some).tobytes()
+                cuts = np.append(0, table_.ends(some))[bounds[first : last + 1] - bounds[first]].tolist()
+                out += [raw[a:b] for a, b in zip(cuts, cuts[1:])]
             columns = [*[batch.column(c) for c in kept], pa.array(out, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, [*kept, "decoded"])
 
@@ -175,27 +201,35 @@ def text_of(decoded: bytes) -> str:
     return decoded.decode("utf-8", errors="replace")
 
 
-def op4_byte_bpe(spark, sf_dir):
-    """Encode and decode the whole of ``documents``; ids and bytes as digests."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    shared = spark.sparkContext.broadcast(load())
+def with_ids_digest(rows: DataFrame, ids: str = "ids") -> DataFrame:
+    """Every row with ``ids_sha256`` in place of its ids: as little-endian 32-bit integers."""
+    kept = [c for c in rows.columns if c not in (ids, "ids_sha256")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, table_ = Pieces.of(shared.value), _byte_table(shared.value)
         for batch in batches:
-            ids, bounds = pieces.encode(batch.column("text"))
-            sha = lambda x: hashlib.sha256(x.tobytes()).hexdigest()
-            slices = [ids[a:b] for a, b in zip(bounds, bounds[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(np.diff(bounds)),
-                    pa.array([sha(x.astype("<u4")) for x in slices], pa.string()),
-                    pa.array([sha(table_.decode(x)) for x in slices], pa.string()),
-                ],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return docs.mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+            flat, bounds = id_lists(batch.column(ids))
+            flat = flat.astype("<u4")
+            sha = [hashlib.sha256(flat[a:b]).hexdigest() for a, b in zip(bounds, bounds[1:])]
+            columns = [*[batch.column(c) for c in kept], pa.array(sha, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, [*kept, "ids_sha256"])
+
+    return rows.mapInArrow(run, rows.select(*[f"`{c}`" for c in kept]).schema.add("ids_sha256", "string"))
+
+
+def op4_byte_bpe(spark, sf_dir):
+    """Encode and decode the whole of ``documents``; ids and bytes as digests.
+
+    ``n_chars`` is where the offsets of the last token end: all characters of the text.
+    """
+    docs, described = table(spark, sf_dir, "documents").select("doc_id", "text"), load()
+    encoded = encode(docs, described, offsets=True).select("doc_id", "ids", "char_ends")
+    decoded = decode(encoded, described).select(
+        "doc_id",
+        "ids",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.coalesce(F.try_element_at("char_ends", F.lit(-1)), F.lit(0)).cast("long").alias("n_chars"),
+    )
+    return written(
+        with_ids_digest(decoded).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_chars"), "byte-bpe"
     )

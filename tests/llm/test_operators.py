@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import hashlib
 import math
 import random
 
@@ -222,6 +223,29 @@ def test_bpe_offsets_and_split_characters(spark):
     assert byte_bpe.encode(docs(spark, []), described).count() == 0
 
 
+def test_bpe_of_many_texts_in_blocks(spark, monkeypatch):
+    described = byte_bpe.load()
+    table = byte_bpe.ByteTable(described)
+    texts = ["né", "", "🙂", "日本", "", "x" * 9, "ö"]
+    ids = [np.array(x, np.int64) for x in _library_ids(described, texts)]
+    bounds = np.append(0, np.cumsum([len(x) for x in ids]))
+    starts, ends = table.character_spans(np.concatenate(ids), bounds)
+    for text, a, b in zip(texts, bounds, bounds[1:]):
+        assert (ends[a:b].max(initial=0), starts[a:b].min(initial=0)) == (len(text), 0)
+    rows = [(1, ids[0].tolist()), (1, ids[0].tolist()), (2, None), (3, []), (4, ids[3].tolist())]
+    monkeypatch.setattr(byte_bpe, "BLOCK_IDS", 2)
+    frame = spark.createDataFrame(rows, "doc_id long, ids array<int>").selectExpr("*", "'z' AS decoded")
+    got = sorted((r.doc_id, bytes(r.decoded).decode()) for r in byte_bpe.decode(frame, described).collect())
+    assert got == [(1, "né"), (1, "né"), (2, ""), (3, ""), (4, "日本")]
+    none = byte_bpe.with_ids_digest(frame.filter("doc_id = 2").drop("decoded")).first()
+    assert none.ids_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+def _library_ids(described, texts):
+    tokenizer = Tokenizer.from_str(described)
+    return [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+
+
 def test_language_edges(spark):
     network = language_id.Network.fresh(["a", "b"], 4)
     rows = [(1, None), (2, ""), (3, "123 !?"), (4, LONG), (5, "é")]

@@ -78,7 +78,7 @@ def test_bpe_equals_tiktoken_and_round_trips(spark):
         ids = own.encode_ordinary(row.text)
         packed = b"".join(i.to_bytes(4, "little") for i in ids)
         sha = lambda x: hashlib.sha256(x).hexdigest()
-        assert got.pop(row.doc_id) == (len(ids), sha(packed), sha(row.text.encode()))
+        assert got.pop(row.doc_id) == (len(ids), sha(packed), sha(row.text.encode()), len(row.text))
     assert not got
 
 
