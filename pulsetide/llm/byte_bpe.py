@@ -110,36 +110,31 @@ class ByteTable:
         return character[starts] - before, character[np.maximum(ends - 1, starts)] + (ends > starts) - before
 
 
-_tables: dict[str, ByteTable] = {}
-
-
-def _byte_table(described: str) -> ByteTable:
-    if described not in _tables:
-        _tables.clear()
-        _tables[described] = ByteTable(described)
-    return _tables[described]
-
-
 def load(path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> str:
     """The tokenizer of a rank file, as JSON that executors can rebuild it from."""
     return tokenizer_of(read_ranks(path or public_tokenizers.path(VOCABULARY)), pattern).to_str()
 
 
-def encode(docs: DataFrame, described: str, text: str = "text", offsets: bool = False) -> DataFrame:
+def encode(
+    docs: DataFrame, described: str, text: str = "text", offsets: bool = False, digest: bool = False
+) -> DataFrame:
     """Every row of ``docs`` with ``ids``, and with offsets also ``char_starts``, ``char_ends``.
 
     Offsets are the characters that a token's bytes touch; tokens that share a split character
-    name it each.
+    name it each. With ``digest`` there is also ``ids_sha256``, the SHA-256 of the ids as
+    little-endian 32-bit integers, in lowercase hex.
 
     * A null or empty text has no ids. Texts may be of any length; rows may repeat.
     * Columns with the names of the result are replaced. An empty table stays empty.
     """
-    made = ["ids", "char_starts", "char_ends"] if offsets else ["ids"]
+    lists_made = ["ids", "char_starts", "char_ends"] if offsets else ["ids"]
+    made = [*lists_made, "ids_sha256"] if digest else lists_made
     kept = [c for c in docs.columns if c not in made]
-    shared = docs.sparkSession.sparkContext.broadcast(described)
+    shared = docs.sparkSession.sparkContext.broadcast((described, ByteTable(described) if offsets else None))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, table_ = Pieces.of(shared.value), _byte_table(shared.value)
+        tokenizer, table_ = shared.value
+        pieces = Pieces.of(tokenizer)
         for batch in batches:
             ids, bounds = pieces.encode(batch.column(text))
             lists = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.astype(np.int32)))]
@@ -153,11 +148,15 @@ def encode(docs: DataFrame, described: str, text: str = "text", offsets: bool =
                     lists.append(
                         pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat.astype(np.int32)))
                     )
+            if digest:
+                packed = ids.astype("<u4")
+                sha = [hashlib.sha256(packed[a:b]).hexdigest() for a, b in zip(bounds, bounds[1:])]
+                lists.append(pa.array(sha, pa.string()))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *lists], [*kept, *made])
 
     schema = docs.select(*[f"`{c}`" for c in kept]).schema
     for name in made:
-        schema = schema.add(name, ArrayType(IntegerType()))
+        schema = schema.add(name, ArrayType(IntegerType()) if name in lists_made else "string")
     return docs.mapInArrow(run, schema)
 
 
@@ -178,10 +177,10 @@ def decode(rows: DataFrame, described: str, ids: str = "ids") -> DataFrame:
     nulls in a list, are an error. A column ``decoded`` is replaced.
     """
     kept = [c for c in rows.columns if c != "decoded"]
-    shared = rows.sparkSession.sparkContext.broadcast(described)
+    shared = rows.sparkSession.sparkContext.broadcast(ByteTable(described))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table_ = _byte_table(shared.value)
+        table_ = shared.value
         for batch in batches:
             flat, bounds = id_lists(batch.column(ids))
             out = []
@@ -201,35 +200,18 @@ def text_of(decoded: bytes) -> str:
     return decoded.decode("utf-8", errors="replace")
 
 
-def with_ids_digest(rows: DataFrame, ids: str = "ids") -> DataFrame:
-    """Every row with ``ids_sha256`` in place of its ids: as little-endian 32-bit integers."""
-    kept = [c for c in rows.columns if c not in (ids, "ids_sha256")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            flat, bounds = id_lists(batch.column(ids))
-            flat = flat.astype("<u4")
-            sha = [hashlib.sha256(flat[a:b]).hexdigest() for a, b in zip(bounds, bounds[1:])]
-            columns = [*[batch.column(c) for c in kept], pa.array(sha, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, [*kept, "ids_sha256"])
-
-    return rows.mapInArrow(run, rows.select(*[f"`{c}`" for c in kept]).schema.add("ids_sha256", "string"))
-
-
 def op4_byte_bpe(spark, sf_dir):
     """Encode and decode the whole of ``documents``; ids and bytes as digests.
 
     ``n_chars`` is where the offsets of the last token end: all characters of the text.
     """
     docs, described = table(spark, sf_dir, "documents").select("doc_id", "text"), load()
-    encoded = encode(docs, described, offsets=True).select("doc_id", "ids", "char_ends")
-    decoded = decode(encoded, described).select(
+    encoded = encode(docs, described, offsets=True, digest=True).select("doc_id", "ids", "ids_sha256", "char_ends")
+    rows = decode(encoded, described).select(
         "doc_id",
-        "ids",
         F.size("ids").cast("long").alias("n_tokens"),
+        "ids_sha256",
         F.sha2("decoded", 256).alias("decoded_sha256"),
         F.coalesce(F.try_element_at("char_ends", F.lit(-1)), F.lit(0)).cast("long").alias("n_chars"),
     )
-    return written(
-        with_ids_digest(decoded).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_chars"), "byte-bpe"
-    )
+    return written(rows, "byte-bpe")

@@ -237,7 +237,7 @@ def test_bpe_of_many_texts_in_blocks(spark, monkeypatch):
     frame = spark.createDataFrame(rows, "doc_id long, ids array<int>").selectExpr("*", "'z' AS decoded")
     got = sorted((r.doc_id, bytes(r.decoded).decode()) for r in byte_bpe.decode(frame, described).collect())
     assert got == [(1, "né"), (1, "né"), (2, ""), (3, ""), (4, "日本")]
-    none = byte_bpe.with_ids_digest(frame.filter("doc_id = 2").drop("decoded")).first()
+    none = byte_bpe.encode(docs(spark, [(2, None)]).selectExpr("*", "0 AS ids_sha256"), described, digest=True).first()
     assert none.ids_sha256 == hashlib.sha256(b"").hexdigest()
 
 
