@@ -32,9 +32,9 @@ FREQUENT_SHARE, FREQUENT_MOST = 1024, 100_000
 #: Nodes of a group that one task compares at once, and entries of an R-tree node.
 UNIT, FANOUT = 1024, 16
 
-#: Rounds that link nodes to one node of their group before all remaining pairs are tried. They
-#: only save work.
-ROUNDS = 4
+#: Rounds that try so many nodes of its groups for each open node before all remaining pairs are
+#: tried. They only save work.
+ROUNDS, TRIES = 4, 4
 
 #: Hash groups of the points: powers of two between these, more only where a byte cannot hold
 #: a group's count.
@@ -390,20 +390,11 @@ def _unit_pairs(percent: int):
 def _remaining(groups: DataFrame, labels: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Pairs of one group and different labels that the points let pass.
 
-    Nodes with the leader's label are not compared with each other. The rest of a group is cut
-    into units of ``UNIT`` nodes, and each meets every unit of the group, so a task never holds
-    more than two units however large the group is.
+    Nodes with the main label of a group are not compared with each other. The rest of a group
+    is cut into units of ``UNIT`` nodes, and each meets every unit of the group, so a task never
+    holds more than two units however large the group is.
     """
-    labelled = groups.join(labels, "node", "left").select(
-        "leader", "node", F.coalesce("label", "node").alias("label")
-    )
-    leaders = labels.select(F.col("node").alias("leader"), F.col("label").alias("own"))
-    rows = written(
-        labelled.join(leaders, "leader", "left").withColumn(
-            "main", F.col("label") == F.coalesce("own", "leader")
-        ),
-        "group-rows",
-    )
+    rows = written(_labelled(groups, labels, ROUNDS), "group-rows")
     sizes = rows.groupBy("leader").agg(
         F.count_if("main").alias("mains"), F.count_if(~F.col("main")).alias("others")
     )
@@ -511,18 +502,14 @@ def jaccard_components(
     # Groups of the nodes alive; a group of one has no pair.
     groups = groups.join(texts.select("node"), "node", "left_semi")
     groups = written(groups, "groups-alive")
-    labels, links = spark.createDataFrame([], "node long, label long"), None
+    labels = spark.createDataFrame([], "node long, label long")
     for turn in range(ROUNDS):
         pairs = _bounded(_to_pivots(groups, labels, turn), texts, percent)
-        found = written(verified(pairs, texts, words, percent), "to-pivots")
-        links = found if links is None else links.union(found)
-        labels = _relabelled(labels, found, turn)
-    rest = written(
-        verified(_remaining(groups, labels, texts, percent), texts, words, percent), "rest"
-    )
-    found = components(links.union(rest))
+        labels = _relabelled(labels, written(verified(pairs, texts, words, percent), "to-pivots"))
+    rest = verified(_remaining(groups, labels, texts, percent), texts, words, percent)
+    labels = _relabelled(labels, written(rest, "rest"))
     named = (
-        nodes.join(found, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
+        nodes.join(labels, "node", "left").select("node", "doc_id", F.coalesce("label", "node").alias("component"))
     )
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     by_node = named.join(least, "component").select("node", "component_id")
@@ -534,44 +521,51 @@ def jaccard_components(
     )
 
 
+def _labelled(groups: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """The rows of ``groups`` with their ``label``, how many rows of the group have the label that
+    most have (``n``), and whether theirs is that one (``main``); of ties a hash picks one."""
+    rows = groups.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    sizes = rows.groupBy("leader", "label").agg(F.count("*").alias("n"))
+    most = sizes.groupBy("leader").agg(F.max(F.struct("n", F.xxhash64("label", F.lit(turn)), "label")).alias("m"))
+    return rows.join(most, "leader").select(
+        "leader", "node", "shared", "label", F.col("m.n").alias("n"), (F.col("label") == F.col("m.label")).alias("main")
+    )
+
+
 def _to_pivots(groups: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
-    """A candidate for each node from the group in which it shares most: the leader, or in
-    later turns, for nodes without the leader's label, a node with it that a hash picks."""
+    """Candidates for each node: the leader of the group in which it shares most, and in later
+    turns, from groups whose main label it has not, nodes with that label that hashes pick. Half
+    of these are of the group in which it shares most, the others of that with most such nodes."""
     if turn == 0:
         candidates = groups.select(F.col("leader").alias("pivot"), "node", "shared").filter("pivot <> node")
-    else:
-        own = labels.select(F.col("node").alias("leader"), F.col("label").alias("own"))
-        named = (
-            groups.join(labels, "node", "left").join(own, "leader", "left")
-            .select("leader", "node", "shared", (F.coalesce("label", "node") == F.coalesce("own", "leader")).alias("main"))
-        )
-        pivots = named.filter("main").groupBy("leader").agg(
-            F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node")).alias("p")
-        )
-        candidates = named.filter("NOT main").join(pivots, "leader").select(
-            F.col("p.node").alias("pivot"), "node", "shared"
-        )
-    best = candidates.groupBy("node").agg(F.max(F.struct("shared", "pivot")).alias("best"))
-    return best.select(F.col("node").alias("a"), F.col("best.pivot").alias("b"))
-
-
-def _relabelled(labels: DataFrame, found: DataFrame, turn: int) -> DataFrame:
-    """Labels after the links ``a`` to its pivot ``b``: ``a`` takes the pivot's label.
-
-    Nodes with one label are connected; connected nodes need not have one label. The links of
-    the first turn are chains to ever smaller leaders, so they are followed twice.
+        best = candidates.groupBy("node").agg(F.max(F.struct("shared", "pivot")).alias("best"))
+        return best.select(F.col("node").alias("a"), F.col("best.pivot").alias("b"))
+    rows = _labelled(groups, labels, turn)
+    pick = lambda nr: F.min(F.struct(F.xxhash64("node", F.lit(turn * TRIES + nr)), "node")).alias(f"p{nr}")
+    pivots = rows.filter("main").groupBy("leader").agg(*[pick(nr) for nr in range(TRIES)])
+    order = lambda nr: ("shared", "n") if nr % 2 else ("n", "shared")
+    best = (
+        rows.filter("NOT main").join(pivots, "leader").groupBy("node")
+        .agg(*[F.max(F.struct(*order(nr), F.col(f"p{nr}.node").alias("pivot"))).alias(f"b{nr}") for nr in range(TRIES)])
+    )
+    tried = F.explode(F.array_distinct(F.array(*[F.col(f"b{nr}.pivot") for nr in range(TRIES)])))
+    return best.select(F.col("node").alias("a"), tried.alias("b"))
+
+
+def _relabelled(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """Labels after more links ``a, b``: nodes have one label if, and only if, they are connected.
+
+    Nodes without a label are their own. Only the links between labels go through the stars.
     """
-    label_of = lambda frame: frame.select(F.col("node").alias("b"), F.col("label").alias("next"))
-    new = found.join(label_of(labels), "b", "left").select(
-        F.col("a").alias("node"), F.coalesce("next", "b").alias("label")
-    )
-    for _ in range(2 if turn == 0 else 0):
-        new = written(new, "labels")
-        new = new.withColumnRenamed("label", "b").join(label_of(new), "b", "left").select(
-            "node", F.coalesce("next", "b").alias("label")
-        )
-    both = labels.withColumnRenamed("label", "old").join(new, "node", "full")
-    return written(both.select("node", F.coalesce("label", "old").alias("label")), "labels")
+    label_of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}"))
+    between = (
+        found.join(label_of("a"), "a", "left").join(label_of("b"), "b", "left")
+        .select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
+    )
+    moved = components(between).select(F.col("node").alias("label"), F.col("component").alias("next"))
+    new = found.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(labels, "node", "left_anti")
+    known = labels.union(new.select("node", F.col("node").alias("label")))
+    return written(known.join(moved, "label", "left").select("node", F.coalesce("next", "label").alias("label")), "labels")
 
 
 def _bounded(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
