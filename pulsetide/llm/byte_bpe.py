@@ -15,7 +15,6 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 from tokenizers import Regex, Tokenizer
 from tokenizers.models import BPE
@@ -131,33 +130,33 @@ def encode(
     made = [*lists_made, "ids_sha256"] if digest else lists_made
     kept = [c for c in docs.columns if c not in made]
     shared = docs.sparkSession.sparkContext.broadcast((described, ByteTable(described) if offsets else None))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, table_ = shared.value
-        pieces = Pieces.of(tokenizer)
-        for batch in batches:
-            ids, bounds = pieces.encode(batch.column(text))
-            lists = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.astype(np.int32)))]
-            if offsets:
-                spans = [
-                    table_.character_spans(ids[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])
-                    for a, b in blocks(bounds, BLOCK_IDS)
-                ]
-                for side in (0, 1):
-                    flat = np.concatenate([np.zeros(0, np.int64), *[s[side] for s in spans]])
-                    lists.append(
-                        pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat.astype(np.int32)))
-                    )
-            if digest:
-                packed = ids.astype("<u4")
-                sha = [hashlib.sha256(packed[a:b]).hexdigest() for a, b in zip(bounds, bounds[1:])]
-                lists.append(pa.array(sha, pa.string()))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *lists], [*kept, *made])
-
     schema = docs.select(*[f"`{c}`" for c in kept]).schema
     for name in made:
         schema = schema.add(name, ArrayType(IntegerType()) if name in lists_made else "string")
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lambda batches: _encoded(batches, *shared.value, text, kept, made), schema)
+
+
+def _encoded(
+    batches: Iterator[pa.RecordBatch], described: str, table_: ByteTable | None, text: str, kept: list[str], made: list[str]
+) -> Iterator[pa.RecordBatch]:
+    """Batches with the columns ``kept`` and those of ``encode`` that ``made`` names."""
+    pieces = Pieces.of(described)
+    for batch in batches:
+        ids, bounds = pieces.encode(batch.column(text))
+        lists = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.astype(np.int32)))]
+        if "char_ends" in made:
+            spans = [
+                table_.character_spans(ids[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])
+                for a, b in blocks(bounds, BLOCK_IDS)
+            ]
+            for side in (0, 1):
+                flat = np.concatenate([np.zeros(0, np.int32), *[s[side].astype(np.int32) for s in spans]])
+                lists.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat)))
+        if "ids_sha256" in made:
+            packed = ids.astype("<u4")
+            sha = [hashlib.sha256(packed[a:b]).hexdigest() for a, b in zip(bounds, bounds[1:])]
+            lists.append(pa.array(sha, pa.string()))
+        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *lists], [*kept, *made])
 
 
 def id_lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
@@ -178,21 +177,24 @@ def decode(rows: DataFrame, described: str, ids: str = "ids") -> DataFrame:
     """
     kept = [c for c in rows.columns if c != "decoded"]
     shared = rows.sparkSession.sparkContext.broadcast(ByteTable(described))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table_ = shared.value
-        for batch in batches:
-            flat, bounds = id_lists(batch.column(ids))
-            out = []
-            for first, last in blocks(bounds, BLOCK_IDS):
-                some = flat[bounds[first] : bounds[last]]
-                raw = table_.decode(some).tobytes()
-                cuts = np.append(0, table_.ends(some))[bounds[first : last + 1] - bounds[first]].tolist()
-                out += [raw[a:b] for a, b in zip(cuts, cuts[1:])]
-            columns = [*[batch.column(c) for c in kept], pa.array(out, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, [*kept, "decoded"])
-
-    return rows.mapInArrow(run, rows.select(*[f"`{c}`" for c in kept]).schema.add("decoded", "binary"))
+    schema = rows.select(*[f"`{c}`" for c in kept]).schema.add("decoded", "binary")
+    return rows.mapInArrow(lambda batches: _decoded(batches, shared.value, ids, kept), schema)
+
+
+def _decoded(
+    batches: Iterator[pa.RecordBatch], table_: ByteTable, ids: str, kept: list[str]
+) -> Iterator[pa.RecordBatch]:
+    """Batches with the columns ``kept`` and the bytes of their ids."""
+    for batch in batches:
+        flat, bounds = id_lists(batch.column(ids))
+        out = []
+        for first, last in blocks(bounds, BLOCK_IDS):
+            some = flat[bounds[first] : bounds[last]]
+            raw = table_.decode(some).tobytes()
+            cuts = np.append(0, table_.ends(some))[bounds[first : last + 1] - bounds[first]].tolist()
+            out += [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+        columns = [*[batch.column(c) for c in kept], pa.array(out, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, [*kept, "decoded"])
 
 
 def text_of(decoded: bytes) -> str:
@@ -200,18 +202,33 @@ def text_of(decoded: bytes) -> str:
     return decoded.decode("utf-8", errors="replace")
 
 
-def op4_byte_bpe(spark, sf_dir):
-    """Encode and decode the whole of ``documents``; ids and bytes as digests.
+def round_trips(docs: DataFrame, described: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, n_tokens, ids_sha256, decoded_sha256, n_chars`` of every row of ``docs``.
 
-    ``n_chars`` is where the offsets of the last token end: all characters of the text.
+    Texts are encoded with offsets and the ids decoded, as ``encode`` and ``decode`` do, one
+    after the other in one worker, so ids and bytes never leave it. ``n_chars`` is where the
+    offsets of the last token end. Rows are treated as by ``encode``.
     """
-    docs, described = table(spark, sf_dir, "documents").select("doc_id", "text"), load()
-    encoded = encode(docs, described, offsets=True, digest=True).select("doc_id", "ids", "ids_sha256", "char_ends")
-    rows = decode(encoded, described).select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        "ids_sha256",
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-        F.coalesce(F.try_element_at("char_ends", F.lit(-1)), F.lit(0)).cast("long").alias("n_chars"),
-    )
-    return written(rows, "byte-bpe")
+    shared = docs.sparkSession.sparkContext.broadcast((described, ByteTable(described)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = ["ids", "char_starts", "char_ends", "ids_sha256"]
+        coded = _encoded(batches, *shared.value, text, [key], made)
+        for batch in _decoded(coded, shared.value[1], "ids", [key, *made]):
+            sha = [hashlib.sha256(x.as_buffer()).hexdigest() for x in batch.column("decoded")]
+            ends, bounds = id_lists(batch.column("char_ends"))
+            chars = np.where(np.diff(bounds) > 0, np.append(ends, 0)[bounds[1:] - 1], 0)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(key), pa.array(np.diff(bounds)), batch.column("ids_sha256"), pa.array(sha, pa.string()), pa.array(chars)],
+                [key, "n_tokens", "ids_sha256", "decoded_sha256", "n_chars"],
+            )
+
+    schema = docs.select(f"`{key}`").schema
+    for name, kind in zip(("n_tokens", "ids_sha256", "decoded_sha256", "n_chars"), ("long", "string", "string", "long")):
+        schema = schema.add(name, kind)
+    return docs.select(f"`{key}`", f"`{text}`").mapInArrow(run, schema)
+
+
+def op4_byte_bpe(spark, sf_dir):
+    """Encode and decode the whole of ``documents``; ids and bytes as digests."""
+    return written(round_trips(table(spark, sf_dir, "documents"), load()), "byte-bpe")
