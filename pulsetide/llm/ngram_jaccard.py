@@ -33,7 +33,7 @@ FREQUENT_SHARE, FREQUENT_MOST = 1024, 100_000
 UNIT, FANOUT = 1024, 16
 
 #: Rounds that try so many nodes of its groups for each open node before all remaining pairs are
-#: tried. They only save work.
+#: tried; a round without a link is the last. They only save work.
 ROUNDS, TRIES = 4, 4
 
 #: Hash groups of the points: powers of two between these, more only where a byte cannot hold
@@ -505,7 +505,10 @@ def jaccard_components(
     labels = spark.createDataFrame([], "node long, label long")
     for turn in range(ROUNDS):
         pairs = _bounded(_to_pivots(groups, labels, turn), texts, percent)
-        labels = _relabelled(labels, written(verified(pairs, texts, words, percent), "to-pivots"))
+        found = written(verified(pairs, texts, words, percent), "to-pivots")
+        if found.isEmpty():
+            break
+        labels = _relabelled(labels, found)
     rest = verified(_remaining(groups, labels, texts, percent), texts, words, percent)
     labels = _relabelled(labels, written(rest, "rest"))
     named = (
