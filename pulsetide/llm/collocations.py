@@ -253,7 +253,8 @@ def active_counts(words, lang, tokens, marks, bits, step, longest, shards):
             yield length, since[one], phrases, places[one], np.diff(np.append(new, len(code)))
         seen = marks[places].astype(np.int64)
         kept = np.flatnonzero(seen)
-        starts, since, hashes = starts[kept], seen[kept], hashes[kept]
+        # Not the mark alone: in a shared place it may be older than those of the phrase's parts.
+        starts, since, hashes = starts[kept], np.maximum(seen[kept], since[kept]), hashes[kept]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
