@@ -29,7 +29,7 @@ from pulsetide.session import scratch_path
 #: Occurrences of a frequent phrase, words of the longest, and shards of a cycle.
 LEAST, LONGEST, SHARDS = 30, 4, 2
 #: Bytes of text of a block, and logarithm of the places of the array of marks (a byte each).
-BLOCK_BYTES, PLACE_BITS = 4 << 20, 24
+BLOCK_BYTES, PLACE_BITS = 2 << 20, 24
 #: Share of a phrase's occurrences, in percent, that make it part of a longer one; phrases of
 #: a language that are reported; parts of a language when these are chosen.
 PART_OF, REPORTED, SPREAD = 80, 2_000, 64
@@ -320,7 +320,7 @@ def collocations(
     ``a`` (both descending), then the phrase's bytes.
 
     * A null text is empty, a null language is ``und``. Texts may be of any length; only the
-      texts of a block of 4 MB, or one longer text, are held at once.
+      texts of a block of 2 MB, or one longer text, are held at once.
     * Repeated rows count as often as they occur. An empty table gives no rows, and other
       columns are not read.
     """
