@@ -161,14 +161,14 @@ def bronze_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
 def layer_codecs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files and rows per layer and codec, as the files' footers have them.
 
-    Bronze is a batch, silver a stream of one file per date, gold a batch with defaults.
+    Bronze is a batch, silver a stream, gold a batch with the default codec; all of one file per date.
     """
     root = scratch_path(spark, "codecs")
     bronze = to_bronze(kafka_records(events_of(spark, sf_dir)))
-    overwrite_layer(bronze, layer_path(root, "bronze"), files=1, codec="zstd")
+    overwrite_layer(bronze, layer_path(root, "bronze"), codec="zstd", date_files=1)
     start_silver(spark, root, date_files=1, codec="gzip").awaitTermination()
     silver = read_layer(spark, layer_path(root, "silver"), SILVER)
-    overwrite_layer(hourly(silver), layer_path(root, "gold"), files=1)
+    overwrite_layer(hourly(silver), layer_path(root, "gold"), date_files=1)
     counted = [
         parquet_footers(spark, layer_path(root, name)).select(F.lit(name).alias("layer"), "codec", "row_count")
         for name in LAYERS

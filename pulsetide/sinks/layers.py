@@ -74,6 +74,7 @@ def overwrite_layer(
     cluster_by: tuple[str, ...] = (),
     files: int | None = None,
     codec: str = "snappy",
+    date_files: int | None = None,
 ) -> int:
     """Replace a layer and return the number of rows written.
 
@@ -82,13 +83,18 @@ def overwrite_layer(
     over many tasks. Without it rows are rebalanced by date: adaptive execution splits a
     large date and merges small ones, so the files of a date follow its bytes and not the
     number of tasks that read the input.
+    ``files`` coalesces the job into that many tasks, which suits small layers only;
+    ``date_files`` deals the rows by date and that many parts of it instead, so that the files of
+    a date are bounded while the dates are written by many tasks.
     A folder a stream writes to is refused: overwriting would delete its commit log.
     """
     spark = frame.sparkSession
     if is_stream_output(spark, path):
         raise ValueError(f"{path} is the output of a stream; choose another folder")
     out = frame
-    if cluster_by:
+    if date_files is not None:
+        out = dealt_by_date(frame, date_files)
+    elif cluster_by:
         keys = ["date", *cluster_by]
         out = out.repartitionByRange(*keys).sortWithinPartitions(*keys)
     elif files is None:

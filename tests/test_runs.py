@@ -124,3 +124,17 @@ def test_streams_keep_state_in_rocksdb_whoever_built_the_session(spark, root, se
     gold.awaitTermination()
     assert any("rocksdb" in str(state.customMetrics).lower() for p in gold.recentProgress for state in p.stateOperators)
     assert spark.conf.get(key) == other
+
+
+def test_a_layer_of_one_file_per_date_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    days = [at(d) for d in range(1, 21)]
+    monkeypatch.setattr(runs, "events_of", lambda spark, sf_dir: None)
+    monkeypatch.setattr(runs, "kafka_records", lambda frame: records(spark, [event(at=a, user=f"u{n}") for a in days for n in range(5)]))
+    monkeypatch.setattr(runs, "scratch_path", lambda spark, name: str(tmp_path / name))
+    got = {(r.layer, r.codec, r.files) for r in runs.layer_codecs(spark, "").collect()}
+    assert {x[:2] for x in got} == {("bronze", "zstd"), ("silver", "gzip"), ("gold", "snappy")}
+    for layer, _, files in got:
+        names = [n for _, _, some in os.walk(tmp_path / "codecs" / layer) for n in some if n.startswith("part-")]
+        dates = [d for d in os.listdir(tmp_path / "codecs" / layer) if d.startswith("date=")]
+        assert files == len(names) == len(dates) >= 19
+        assert len({n.split("-")[1] for n in names}) > 2, layer  # numbers of the tasks that wrote them
