@@ -12,6 +12,7 @@ pairs between them, so a pair of R-trees is descended together. Nodes already kn
 connected are not compared. Pairs that survive are verified on the texts themselves.
 """
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -73,6 +74,19 @@ def point(shingles: np.ndarray) -> np.ndarray:
         groups *= 2
 
 
+def packed(counts: np.ndarray) -> bytes:
+    """A point for the way: most counts are small, so Huffman codes take a fraction of the bytes."""
+    coder = zlib.compressobj(1, strategy=zlib.Z_HUFFMAN_ONLY)
+    return coder.compress(counts.tobytes()) + coder.flush()
+
+
+def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches with their points' counts."""
+    for batch in batches:
+        counts = pa.array([zlib.decompress(one) for one in batch.column("point").to_pylist()], pa.binary())
+        yield batch.set_column(batch.schema.get_field_index("point"), "point", counts)
+
+
 def folded(points: np.ndarray, groups: int) -> np.ndarray:
     """The same points by fewer, larger hash groups."""
     held = np.uint16 if points.shape[1] <= 256 * groups else np.uint32
@@ -248,7 +262,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _texts(words: int):
-    """Candidate rows to ``node, text, size, point`` of those whose set is the node's."""
+    """Candidate rows to ``node, text, size, point`` (packed) of those whose set is the node's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -258,7 +272,7 @@ def _texts(words: int):
                 if digest(one) == nodes[i]:
                     kept.append(i)
                     sizes.append(len(one))
-                    points.append(point(one).tobytes())
+                    points.append(packed(point(one)))
             some = batch.take(pa.array(kept, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [some.column("node"), some.column("text"), pa.array(sizes, pa.int64()), pa.array(points, pa.binary())],
@@ -279,8 +293,15 @@ def _verify(words: int, percent: int):
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` of nodes that link, by their texts."""
-    side = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
+    """The pairs ``a, b`` of nodes that link, by their texts.
+
+    The pairs are written first, so that their size is known: of the texts only those of nodes in
+    a pair are dealt anew, and not all of them in every round.
+    """
+    pairs = written(pairs, "pairs")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    some = texts.select("node", "text").join(needed, "node", "left_semi")
+    side = lambda c: some.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
     return (
         pairs.join(side("a"), "a")
         .join(side("b"), "b")
@@ -421,11 +442,12 @@ def _remaining(groups: DataFrame, labels: DataFrame, texts: DataFrame, percent:
         ).alias("unit"),
     ).select("leader", "node", "label", "unit.*")
     points = texts.select("node", "size", "point")
+    pairs_of = _unit_pairs(percent)
     return (
         dealt.join(points, "node")
         .repartition(partitions(texts.sparkSession), "leader", "kind", "i", "j")
         .sortWithinPartitions("leader", "kind", "i", "j")
-        .mapInArrow(_unit_pairs(percent), "a long, b long")
+        .mapInArrow(lambda batches: pairs_of(unpacked(batches)), "a long, b long")
         .distinct()
     )
 
@@ -577,19 +599,21 @@ def _bounded(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = [batch.column(c).to_pylist() for c in ("size_a", "size_b")]
-            points = [batch.column(c).to_pylist() for c in ("point_a", "point_b")]
+            points = [[np.frombuffer(zlib.decompress(x), np.uint8) for x in batch.column(c).to_pylist()] for c in ("point_a", "point_b")]
             good = []
             for na, nb, *both in zip(*sizes, *points):
                 groups = min(map(len, both))
-                a, b = (folded(np.frombuffer(x, np.uint8)[None, :], groups)[0] for x in both)
+                a, b = (folded(x[None, :], groups)[0] for x in both)
                 most = int(np.minimum(a, b).sum(dtype=np.int64))
                 good.append((100 + percent) * most >= percent * (na + nb))
             yield batch.filter(pa.array(good, pa.bool_())).select(["a", "b"])
 
-    side = lambda c: texts.select(*[F.col(x).alias(y) for x, y in (("node", c), ("size", f"size_{c}"), ("point", f"point_{c}"))])
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").filter(
+    # Sizes first: pairs that they rule out never meet a point.
+    side = lambda what, c: texts.select(F.col("node").alias(c), F.col(what).alias(f"{what}_{c}"))
+    fitting = pairs.join(side("size", "a"), "a").join(side("size", "b"), "b").filter(
         F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent
     )
+    joined = fitting.join(side("point", "a"), "a").join(side("point", "b"), "b")
     return joined.select("a", "b", "size_a", "size_b", "point_a", "point_b").mapInArrow(run, "a long, b long")
 
 

@@ -461,3 +461,25 @@ def test_edits_of_long_lines(spark):
     dropped = {r.doc_id: r.dropped_lines for r in line_decisions(docs(spark, rows), most=None).collect()}
     assert dropped == {1: [], 2: [0], 3: [], 4: [0], 5: [], 6: [1]}
     assert {r.doc_id: r.text for r in dedup_lines(docs(spark, rows[:2])).collect()} == {1: line, 2: ""}
+
+
+def test_verifying_deals_only_texts_of_pairs_and_packs_points(spark, tmp_path):
+    import pyarrow.compute as pc
+
+    from pulsetide.llm import ngram_jaccard as j
+
+    one = point(np.arange(1000, dtype=np.uint64) << np.uint64(54))
+    batch = pa.RecordBatch.from_pydict({"node": [1], "point": [j.packed(one)]})
+    assert next(j.unpacked(iter([batch]))).column("point")[0].as_py() == one.tobytes()
+    path = str(tmp_path / "texts")
+    spark.range(3000).selectExpr("id AS node", "concat('a b c d e f ', id DIV 2) AS text").write.parquet(path)
+    # From a map, so that their number is not known before.
+    pairs = spark.range(2, 6, 2).mapInArrow(
+        lambda batches: (pa.RecordBatch.from_arrays([b.column(0), pc.add(b.column(0), 1)], ["a", "b"]) for b in batches),
+        "a long, b long",
+    )
+    found = j.verified(pairs, spark.read.parquet(path), 5, 75)
+    assert sorted(tuple(r) for r in found.collect()) == [(2, 3), (4, 5)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # Every scan of the texts meets the pairs' nodes as a broadcast before any exchange.
+    assert plan.count("BroadcastHashJoin [node") >= 2
