@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsetide.llm.common import blocks, ragged, table, text_buffers
+from pulsetide.llm.common import blocks, ragged, returning, table, text_buffers
 
 #: Bounds of the training sample: documents of a language that are expected (twice as many at
 #: most), pieces of a document, bytes of a piece. Every language is learned.
@@ -229,7 +229,7 @@ def learn(labelled: DataFrame, hidden: int | None = None, steps: int | None = No
     share = F.create_map(*[F.lit(x) for row in counts for x in (row["lang"], DOCUMENTS / row["count"])])
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     drawn = labelled.filter(place < share[F.col("lang")]).limit(2 * DOCUMENTS * len(counts))
-    rows = drawn.select("lang", "text").mapInArrow(_pieces, "lang string, piece binary").collect()
+    rows = drawn.select("lang", "text").mapInArrow(returning(_pieces), "lang string, piece binary").collect()
     rows = sorted((row.lang, bytes(row.piece)) for row in rows)
     if not rows:
         return None
@@ -278,7 +278,7 @@ def identify(docs: DataFrame, network: Network | None, text: str = "text") -> Da
             )
 
     schema = docs.select(*[f"`{c}`" for c in kept]).schema.add("lang_pred", "string").add("score", "double")
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(returning(run), schema)
 
 
 def op5_language_id(spark, sf_dir):

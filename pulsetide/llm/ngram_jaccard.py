@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsetide.llm.common import blocks, partitions, ragged, table, text_buffers, written
+from pulsetide.llm.common import BLOCK_BYTES, blocks, partitions, ragged, returning, table, text_buffers, written
 from pulsetide.llm.components import components
 from pulsetide.llm.shingles import digest, mix, shingle_sets
 
@@ -81,10 +81,17 @@ def packed(counts: np.ndarray) -> bytes:
 
 
 def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches with their points' counts."""
+    """The rows with their points' counts, in batches of about ``BLOCK_BYTES`` of them: packed
+    points say little about how many bytes a batch of them becomes."""
     for batch in batches:
-        counts = pa.array([zlib.decompress(one) for one in batch.column("point").to_pylist()], pa.binary())
-        yield batch.set_column(batch.schema.get_field_index("point"), "point", counts)
+        place = batch.schema.get_field_index("point")
+        first, counts, size = 0, [], 0
+        for end, one in enumerate(batch.column("point"), 1):
+            counts.append(zlib.decompress(one.as_py()))
+            size += len(counts[-1])
+            if size >= BLOCK_BYTES or end == len(batch):
+                yield batch.slice(first, end - first).set_column(place, "point", pa.array(counts, pa.binary()))
+                first, counts, size = end, [], 0
 
 
 def folded(points: np.ndarray, groups: int) -> np.ndarray:
@@ -111,33 +118,37 @@ def tree_pairs(left: Tree, right: Tree, percent: int) -> np.ndarray:
     depth = max(len(left.levels), len(right.levels)) - 1
     pairs = np.zeros((1, 2), np.int64)
     for level in range(depth, -1, -1):
-        sides = []
-        for side, tree in enumerate((left, right)):
-            sides.append(tree.levels[min(level, len(tree.levels) - 1)])
-        kept = []
+        sides = [tree.levels[min(level, len(tree.levels) - 1)] for tree in (left, right)]
         width = sides[0][0].shape[1]
-        for chunk in np.array_split(pairs, max(1, len(pairs) * width // (1 << 20))):
+        kept = [np.zeros((0, 2), np.int64)]
+        # Pairs are opened part by part too: most of what they open to does not stay.
+        for chunk in np.array_split(pairs, max(1, len(pairs) * FANOUT**2 * width >> 20)):
+            if level < depth:
+                chunk = _opened(left, right, level + 1, chunk)
             (a, na), (b, nb) = [(boxes[chunk[:, s]], least[chunk[:, s]]) for s, (boxes, least) in enumerate(sides)]
             most = np.minimum(a, b).sum(axis=1, dtype=np.int64)
             kept.append(chunk[(100 + percent) * most >= percent * (na + nb)])
         pairs = np.concatenate(kept)
-        if level and len(pairs):
-            opened = []
-            for side, tree in enumerate((left, right)):
-                if level < len(tree.levels):
-                    first = pairs[:, side] * FANOUT
-                    count = np.minimum(FANOUT, len(tree.levels[level - 1][1]) - first)
-                else:
-                    first, count = pairs[:, side], np.ones(len(pairs), np.int64)
-                opened.append((first, count))
-            (fa, ca), (fb, cb) = opened
-            total = ca * cb
-            of = np.repeat(np.arange(len(pairs)), total)
-            nth = np.arange(total.sum()) - np.repeat(np.cumsum(total) - total, total)
-            pairs = np.stack([fa[of] + nth // cb[of], fb[of] + nth % cb[of]], axis=1)
     return pairs
 
 
+def _opened(left: Tree, right: Tree, level: int, pairs: np.ndarray) -> np.ndarray:
+    """The pairs of entries one level below the pairs of this level."""
+    opened = []
+    for side, tree in enumerate((left, right)):
+        if level < len(tree.levels):
+            first = pairs[:, side] * FANOUT
+            count = np.minimum(FANOUT, len(tree.levels[level - 1][1]) - first)
+        else:
+            first, count = pairs[:, side], np.ones(len(pairs), np.int64)
+        opened.append((first, count))
+    (fa, ca), (fb, cb) = opened
+    total = ca * cb
+    of = np.repeat(np.arange(len(pairs)), total)
+    nth = np.arange(total.sum()) - np.repeat(np.cumsum(total) - total, total)
+    return np.stack([fa[of] + nth // cb[of], fb[of] + nth % cb[of]], axis=1)
+
+
 def _sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
     raw, offsets = text_buffers(column)
     for first, last in blocks(offsets):
@@ -306,7 +317,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
         pairs.join(side("a"), "a")
         .join(side("b"), "b")
         .select("a", "b", "text_a", "text_b")
-        .mapInArrow(_verify(words, percent), "a long, b long")
+        .mapInArrow(returning(_verify(words, percent)), "a long, b long")
     )
 
 
@@ -327,7 +338,7 @@ def _leaf_pairs(rows: dict, first: np.ndarray, end: np.ndarray, percent: int) ->
     for groups in np.unique(width[p]):
         for other in np.unique(width[q[width[p] == groups]]):
             some = np.flatnonzero((width[p] == groups) & (width[q] == other))
-            for part in np.array_split(some, max(1, len(some) * groups >> 22)):
+            for part in np.array_split(some, max(1, len(some) * other >> 22)):
                 a = rows["points"][groups][rows["nth"][p[part]]]
                 b = folded(rows["points"][other][rows["nth"][q[part]]], groups) if len(part) else a
                 most = np.minimum(a, b).sum(axis=1, dtype=np.int64)
@@ -374,7 +385,8 @@ def _unit_pairs(percent: int):
         for groups in np.unique(rows["width"]).tolist():
             some = np.flatnonzero(rows["width"] == groups)
             rows["nth"][some] = np.arange(len(some))
-            rows["points"][groups] = raw[ragged(offsets[some], np.full(len(some), groups))].reshape(-1, groups)
+            # Not an index of every byte, which is eight times the points.
+            rows["points"][groups] = np.lib.stride_tricks.sliding_window_view(raw, groups)[offsets[some]]
         ends = np.append(starts[1:], len(batch))
         small = ends - starts <= FANOUT
         out = [_leaf_pairs(rows, starts[small], ends[small], percent)]
@@ -447,7 +459,7 @@ def _remaining(groups: DataFrame, labels: DataFrame, texts: DataFrame, percent:
         dealt.join(points, "node")
         .repartition(partitions(texts.sparkSession), "leader", "kind", "i", "j")
         .sortWithinPartitions("leader", "kind", "i", "j")
-        .mapInArrow(lambda batches: pairs_of(unpacked(batches)), "a long, b long")
+        .mapInArrow(returning(lambda batches: pairs_of(unpacked(batches))), "a long, b long")
         .distinct()
     )
 
@@ -476,7 +488,7 @@ def jaccard_components(
     rows = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     first = written(
         rows.mapInArrow(
-            _describe(words), "kind int, doc_id long, size long, node long, shingle long, found long"
+            returning(_describe(words)), "kind int, doc_id long, size long, node long, shingle long, found long"
         ),
         "described",
     )
@@ -497,11 +509,11 @@ def jaccard_components(
     buckets = partitions(spark)
     shared = (
         rows.mapInArrow(
-            _postings(frequent, words, percent, buckets), "bucket long, shingles binary, nodes binary"
+            returning(_postings(frequent, words, percent, buckets)), "bucket long, shingles binary, nodes binary"
         )
         .repartition(buckets, "bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(_groups, "leader long, node long, shared long")
+        .mapInArrow(returning(_groups), "leader long, node long, shared long")
     )
     groups = written(shared.groupBy("leader", "node").agg(F.sum("shared").alias("shared")), "groups")
     nodes = documents.filter("size > 0").groupBy("node").agg(
@@ -517,7 +529,7 @@ def jaccard_components(
     texts = written(
         rows.join(alive.withColumnRenamed("doc_id", "of"), F.col("doc_id").eqNullSafe(F.col("of")))
         .select("node", "text")
-        .mapInArrow(_texts(words), "node long, text string, size long, point binary")
+        .mapInArrow(returning(_texts(words)), "node long, text string, size long, point binary")
         .dropDuplicates(["node"]),
         "texts",
     )
@@ -598,10 +610,10 @@ def _bounded(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = [batch.column(c).to_pylist() for c in ("size_a", "size_b")]
-            points = [[np.frombuffer(zlib.decompress(x), np.uint8) for x in batch.column(c).to_pylist()] for c in ("point_a", "point_b")]
+            columns = [batch.column(c).to_pylist() for c in ("size_a", "size_b", "point_a", "point_b")]
             good = []
-            for na, nb, *both in zip(*sizes, *points):
+            for na, nb, *both in zip(*columns):
+                both = [np.frombuffer(zlib.decompress(x), np.uint8) for x in both]
                 groups = min(map(len, both))
                 a, b = (folded(x[None, :], groups)[0] for x in both)
                 most = int(np.minimum(a, b).sum(dtype=np.int64))
@@ -614,7 +626,7 @@ def _bounded(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
         F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent
     )
     joined = fitting.join(side("point", "a"), "a").join(side("point", "b"), "b")
-    return joined.select("a", "b", "size_a", "size_b", "point_a", "point_b").mapInArrow(run, "a long, b long")
+    return joined.select("a", "b", "size_a", "size_b", "point_a", "point_b").mapInArrow(returning(run), "a long, b long")
 
 
 def op2_ngram_jaccard(spark, sf_dir):

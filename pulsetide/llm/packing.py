@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from pulsetide.llm.common import table, written
+from pulsetide.llm.common import returning, table, written
 from pulsetide.llm.subwords import Pieces
 
 VOCABULARY, SEQUENCE, END = "word_bpe_49k.json", 4096, 2
@@ -134,7 +134,7 @@ def cut_pieces(docs: DataFrame, described: str, size: int, end: int, text: str,
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
-        run,
+        returning(run),
         f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long",
     )
 
@@ -191,7 +191,7 @@ def pack(
         .join(firsts, ["task", "length"])
         .select(*out, (F.col("first") + F.col("nth")).alias("rank"))
     )
-    return ranked.mapInArrow(run, schema)
+    return ranked.mapInArrow(returning(run), schema)
 
 
 def op10_packing(spark, sf_dir):

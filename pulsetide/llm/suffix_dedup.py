@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsetide.llm.common import blocks, body, partitions, ragged, table, text_buffers, written
+from pulsetide.llm.common import blocks, body, partitions, ragged, returning, table, text_buffers, written
 from pulsetide.llm.shingles import mix, powers
 
 #: Bytes of a repeated string, and of an anchor.
@@ -345,6 +345,7 @@ class Shard:
         place = np.cumsum(end - first) - (end - first)
         which = np.searchsorted(first, self.starts, side="right") - 1
         self.places = self.starts - first[which] + place[which]
+        del split, shift, which
         prints = window_hashes(self.text, width)[self.places] >> np.uint64(1)
         self.prints, self.of = np.unique(prints, return_inverse=True)
 
@@ -387,6 +388,7 @@ def _runs(width: int, buckets: int):
                     ],
                     ["bucket", "shard", "run"],
                 )
+                del shard, run_  # before the next is made
 
     return run
 
@@ -460,6 +462,7 @@ def _spans(width: int, buckets: int, carry_text: bool, whole_characters: bool):
                     [pa.array(c, t) for c, t in zip(columns, types)],
                     ["owner", "span_starts", "span_ends", "kept_sha", "left"],
                 )
+                del shard, twice, out, columns
 
     return run
 
@@ -494,10 +497,10 @@ def repeated_spans(
     long = rows.filter(F.col("size") >= width)
     found = (
         long.select("owner", "body")
-        .mapInArrow(_anchor_rows(width, buckets), "bucket long, hashes binary, owners binary, places binary")
+        .mapInArrow(returning(_anchor_rows(width, buckets)), "bucket long, hashes binary, owners binary, places binary")
         .repartition(buckets, "bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(_repeated_anchors, "owner long, places binary")
+        .mapInArrow(returning(_repeated_anchors), "owner long, places binary")
         .groupBy("owner")
         .agg(F.collect_list("places").alias("places"))
     )
@@ -510,21 +513,21 @@ def repeated_spans(
         .select("owner", "places", "body")
         .dropDuplicates(["owner"])
         .mapInArrow(
-            _shards(width), "shard long, owners binary, lengths binary, texts binary, counts binary, firsts binary, sizes binary"
+            returning(_shards(width)), "shard long, owners binary, lengths binary, texts binary, counts binary, firsts binary, sizes binary"
         ),
         "shards",
     )
     masks = written(
-        shards.mapInArrow(_runs(width, buckets), "bucket long, shard long, run binary")
+        shards.mapInArrow(returning(_runs(width, buckets)), "bucket long, shard long, run binary")
         .repartition(buckets, "bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(_merged, "bucket long, shard long, mask binary"),
+        .mapInArrow(returning(_merged), "bucket long, shard long, mask binary"),
         "masks",
     )
     by_shard = masks.groupBy("shard").agg(F.collect_list(F.struct("bucket", "mask")).alias("masks"))
     spans = written(
         shards.join(by_shard, "shard").mapInArrow(
-            _spans(width, buckets, carry_text, whole_characters),
+            returning(_spans(width, buckets, carry_text, whole_characters)),
             "owner long, span_starts array<int>, span_ends array<int>, kept_sha binary, left binary",
         ),
         "spans",

@@ -483,3 +483,61 @@ def test_verifying_deals_only_texts_of_pairs_and_packs_points(spark, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     # Every scan of the texts meets the pairs' nodes as a broadcast before any exchange.
     assert plan.count("BroadcastHashJoin [node") >= 2
+
+
+def test_points_of_a_large_batch_are_unpacked_and_compared_part_by_part():
+    import tracemalloc
+
+    from pulsetide.llm import ngram_jaccard as j
+    from pulsetide.llm.common import BLOCK_BYTES
+
+    rng = np.random.default_rng(5)
+    count = 2400
+    points = [j.point(rng.integers(0, 2**64, 4000, np.uint64)) for _ in range(count)]
+    for node in range(1, count, 20):  # of its group's other node, without one shingle
+        points[node] = points[node - 1].copy()
+        points[node][np.argmax(points[node])] -= 1
+    numbers = np.arange(count)
+    columns = {
+        "leader": numbers // 2, "kind": numbers * 0, "i": numbers * 0, "j": numbers * 0, "node": numbers, "label": numbers,
+        "side": numbers * 0, "size": np.array([int(p.sum()) for p in points]), "point": [j.packed(p) for p in points],
+    }
+    batch = pa.RecordBatch.from_pydict(columns)
+    parts = list(j.unpacked(iter([batch])))
+    assert [x for part in parts for x in part.column("point").to_pylist()] == [p.tobytes() for p in points]
+    assert [x for part in parts for x in part.column("node").to_pylist()] == list(range(count))
+    assert max(part.column("point").nbytes for part in parts) < 2 * BLOCK_BYTES
+    del parts
+    tracemalloc.start()
+    found = [(r["a"], r["b"]) for part in j._unit_pairs(75)(j.unpacked(iter([batch]))) for r in part.to_pylist()]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted(found) == [(node - 1, node) for node in range(1, count, 20)]
+    assert most < 40 << 20  # 9 MB of points; all at once, with an index of every byte, took over 200 MB
+
+
+def test_a_step_gives_back_what_it_freed():
+    from pathlib import Path
+
+    from pulsetide.llm.common import returning
+
+    def own():
+        return sum(int(line.split()[1]) for line in Path("/proc/self/smaps_rollup").read_text().splitlines() if line.startswith("Pss_Anon:")) >> 10
+
+    pinned = []  # what lies between freed blocks keeps them from going back by themselves
+
+    def step(batches):
+        for batch in batches:
+            freed = []
+            for _ in range(2000):
+                freed.append(np.ones(100_000, np.uint8))
+                pinned.append(np.ones(2000, np.uint8))
+            del freed
+            yield batch
+
+    assert list(returning(step)(iter([]))) == []
+    before = own()
+    assert list(step(iter([1]))) == [1]
+    held = own() - before
+    assert list(returning(step)(iter([1, 2]))) == [1, 2]
+    assert held > 100 and own() - before < 50
