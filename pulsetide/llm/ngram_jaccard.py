@@ -377,7 +377,7 @@ def _unit_pairs(percent: int):
     """Sorted units of groups to pairs of nodes that may link; many small ones at once."""
     keys = ["leader", "kind", "i", "j"]
 
-    def found(batch: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
+    def found(batch: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
         rows = {c: batch.column(c).to_numpy() for c in ("node", "label", "side", "size")}
         raw, offsets = text_buffers(batch.column("point"))
         rows["width"] = np.diff(offsets)
@@ -389,10 +389,13 @@ def _unit_pairs(percent: int):
             rows["points"][groups] = np.lib.stride_tricks.sliding_window_view(raw, groups)[offsets[some]]
         ends = np.append(starts[1:], len(batch))
         small = ends - starts <= FANOUT
-        out = [_leaf_pairs(rows, starts[small], ends[small], percent)]
-        out += [_tree_unit(rows, a, b, percent) for a, b in zip(starts[~small], ends[~small])]
-        pairs = np.sort(rows["node"][np.concatenate(out)], axis=1)
-        pairs = np.unique(pairs, axis=0)
+        yield named(rows, _leaf_pairs(rows, starts[small], ends[small], percent))
+        # One unit at a time: each may leave a pair for any two of its nodes.
+        for a, b in zip(starts[~small], ends[~small]):
+            yield named(rows, _tree_unit(rows, a, b, percent))
+
+    def named(rows: dict, pairs: np.ndarray) -> pa.RecordBatch:
+        pairs = np.unique(np.sort(rows["node"][pairs], axis=1), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -404,10 +407,10 @@ def _unit_pairs(percent: int):
             held = batch if held is None else pa.concat_tables([held, batch])
             starts = unit_starts(held)
             if len(starts) > 1:  # the last unit may go on in the next batch
-                yield found(held.slice(0, starts[-1]).combine_chunks(), starts[:-1])
+                yield from found(held.slice(0, starts[-1]).combine_chunks(), starts[:-1])
                 held = held.slice(starts[-1])
         if held is not None and len(held):
-            yield found(held.combine_chunks(), unit_starts(held))
+            yield from found(held.combine_chunks(), unit_starts(held))
 
     def unit_starts(rows: pa.Table) -> np.ndarray:
         new = np.zeros(len(rows), bool)

@@ -541,3 +541,21 @@ def test_a_step_gives_back_what_it_freed():
     held = own() - before
     assert list(returning(step)(iter([1, 2]))) == [1, 2]
     assert held > 100 and own() - before < 50
+
+
+def test_pairs_of_large_units_come_unit_by_unit():
+    import tracemalloc
+
+    units, nodes = 8, 300
+    numbers = np.arange(units * nodes)
+    one = point(np.arange(60, dtype=np.uint64) << np.uint64(58))
+    batch = pa.RecordBatch.from_pydict({
+        "leader": numbers // nodes, "kind": numbers * 0, "i": numbers * 0, "j": numbers * 0, "node": numbers, "label": numbers,
+        "side": numbers * 0, "size": numbers * 0 + 60, "point": [one.tobytes()] * len(numbers),
+    })
+    tracemalloc.start()
+    sizes = [len(part) for part in _unit_pairs(75)(iter([batch]))]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(sizes) == units * nodes * (nodes - 1) // 2 and max(sizes) == nodes * (nodes - 1) // 2
+    assert most < 24 << 20
