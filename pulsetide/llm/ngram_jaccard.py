@@ -2,9 +2,11 @@
 
 Texts with equal shingle sets are one node. A node's prefix is the part of its set that, by the
 prefix principle, must meet the prefix of every node it can link to in a stated number of
-shingles: the set is ordered by (frequent or not, hash), so frequent shingles come last, and
-order alone never decides a link. Nodes that share prefix shingles form groups, each named by
-its smallest node. All links lie inside groups.
+shingles: the set is ordered by (how many documents hold it, hash), rare shingles first. Those
+numbers come from an array of counters over all documents, which different shingles may share;
+any order finds all links, a good one makes groups small. Nodes that share a prefix shingle form
+a group, or several where a gap in their sizes is too wide for a link; a group is named by its
+smallest node. All links lie inside groups.
 
 Inside a group, a node is a point: the counts of its shingles in hash groups. The summed minima
 of two points bound the overlap of two sets, and the summed minima of two boxes that of all
@@ -20,15 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsetide.llm.common import BLOCK_BYTES, blocks, partitions, ragged, returning, table, text_buffers, written
+from pulsetide.llm.common import BLOCK_BYTES, blocks, partitions, ragged, returning, small_batches, table, text_buffers, written
 from pulsetide.llm.components import components
 from pulsetide.llm.shingles import digest, mix, shingle_sets
 
 WORDS, PERCENT = 5, 75
 
-#: A shingle in more than one of so many documents goes to the end of the order (which only
-#: saves work); so many of them at most, the most frequent first.
-FREQUENT_SHARE, FREQUENT_MOST = 1024, 100_000
+#: Counters of the documents that hold a shingle, by the first bits of its hash, and the pieces
+#: in which tasks send them. More counters only save work.
+COUNTER_BITS, PIECES = 24, 64
 
 #: Nodes of a group that one task compares at once, and entries of an R-tree node.
 UNIT, FANOUT = 1024, 16
@@ -156,56 +158,98 @@ def _sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
         yield from shingle_sets(raw[low:high], offsets[first : last + 1] - low, words)
 
 
+def counters(shingles: np.ndarray) -> np.ndarray:
+    """The counter of each shingle."""
+    return (shingles >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+
+
 def _describe(words: int):
-    """Documents to ``kind 0``: id, size, node; and ``kind 1``: a batch's frequent shingles."""
+    """Documents to ``kind 0``: id, size, node; and ``kind 1``: a task's counters, by piece.
+
+    A task counts to 255; in a batch equal sets count once.
+    """
+    names = ["kind", "doc_id", "size", "node", "piece", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, id_type = np.zeros(1 << COUNTER_BITS, np.uint8), pa.int64()
         for batch in batches:
-            sizes, nodes, all_sets = [], [], []
+            sizes, nodes, seen = [], [], set()
             for one in _sets(batch.column("text"), words):
                 sizes.append(len(one))
                 nodes.append(digest(one))
-                all_sets.append(one)
-            count = len(sizes)
-            empty = pa.nulls(count, pa.int64())
+                if nodes[-1] not in seen:
+                    seen.add(nodes[-1])
+                    places = counters(one)
+                    found = held[places]
+                    held[places] = found + (found < 255)
+            count, id_type = len(sizes), batch.column("doc_id").type
             yield pa.RecordBatch.from_arrays(
                 [pa.array([0] * count, pa.int32()), batch.column("doc_id"), pa.array(sizes, pa.int64()),
-                 pa.array(nodes, pa.int64()), empty, empty],
-                ["kind", "doc_id", "size", "node", "shingle", "found"],
-            )
-            values = np.sort(np.concatenate([np.zeros(0, np.uint64), *all_sets]))
-            starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
-            found = np.diff(np.append(starts, len(values)))
-            often = found > max(8, count // FREQUENT_SHARE)
-            n = int(often.sum())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([1] * n, pa.int32()), pa.nulls(n, batch.column("doc_id").type),
-                 pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
-                 pa.array(values[starts[often]].view(np.int64)), pa.array(found[often])],
-                ["kind", "doc_id", "size", "node", "shingle", "found"],
+                 pa.array(nodes, pa.int64()), pa.nulls(count, pa.int32()), pa.nulls(count, pa.binary())],
+                names,
             )
+        for nr, piece in enumerate(np.split(held, PIECES)):
+            if piece.any():
+                # Most counters of a small task are zero.
+                coder = zlib.compressobj(1, strategy=zlib.Z_RLE)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([1], pa.int32()), pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
+                     pa.array([nr], pa.int32()), pa.array([coder.compress(piece.tobytes()) + coder.flush()], pa.binary())],
+                    names,
+                )
 
     return run
 
 
-def prefix(shingles: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
-    """The first shingles in the order (frequent, hash)."""
+def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counters of all tasks, sorted by piece, to a byte each: eighths of a power of two."""
+
+    def out(piece: int, total: np.ndarray) -> pa.RecordBatch:
+        classes = np.minimum(np.rint(8 * np.log2(total + 1.0)), 255).astype(np.uint8)
+        return pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([classes.tobytes()], pa.binary())], ["piece", "classes"])
+
+    current, total = None, None
+    for batch in batches:
+        for piece, counts in zip(batch.column("piece").to_pylist(), batch.column("counts")):
+            if piece != current:
+                if current is not None:
+                    yield out(current, total)
+                current, total = piece, np.zeros((1 << COUNTER_BITS) // PIECES, np.int64)
+            total += np.frombuffer(zlib.decompress(counts.as_py()), np.uint8)
+    if current is not None:
+        yield out(current, total)
+
+
+def rarity(first: DataFrame) -> np.ndarray:
+    """A byte for each counter, larger for more documents, of what ``_describe`` made."""
+    pieces = (
+        first.filter("kind = 1")
+        .select("piece", "counts")
+        .repartition(min(PIECES, partitions(first.sparkSession)), "piece")
+        .sortWithinPartitions("piece")
+        .mapInArrow(returning(_classes), "piece int, classes binary")
+    )
+    found = np.zeros((PIECES, (1 << COUNTER_BITS) // PIECES), np.uint8)
+    with small_batches(first.sparkSession):
+        for row in pieces.collect():
+            found[row.piece] = np.frombuffer(row.classes, np.uint8)
+    return found.reshape(-1)
+
+
+def prefix(shingles: np.ndarray, classes: np.ndarray, percent: int) -> np.ndarray:
+    """The first shingles in the order (class of the counter, hash)."""
     size = len(shingles)
     length = size - least_overlap(size, percent) + shared_needed(size)
-    if len(frequent):
-        place = np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)
-        often = frequent[place] == shingles
-        shingles = np.concatenate([shingles[~often], shingles[often]])
-    return shingles[:length]
+    return shingles[np.argsort(classes[counters(shingles)], kind="stable")[:length]]
 
 
-def _postings(frequent, words: int, percent: int, buckets: int):
-    """Documents to packed ``(shingle, node)`` arrays by bucket of the shingle."""
+def _postings(classes, words: int, percent: int, buckets: int):
+    """Documents to packed ``(shingle, node, size)`` arrays by bucket of the shingle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = frequent.value
+        order = classes.value
         for batch in batches:
-            seen, parts, counts, nodes = set(), [np.zeros(0, np.uint64)], [], []
+            seen, parts, counts, nodes, sizes = set(), [np.zeros(0, np.uint64)], [], [], []
             for one in _sets(batch.column("text"), words):
                 node = digest(one)
                 if len(one) and node not in seen:
@@ -213,12 +257,14 @@ def _postings(frequent, words: int, percent: int, buckets: int):
                     parts.append(prefix(one, order, percent))
                     nodes.append(node)
                     counts.append(len(parts[-1]))
+                    sizes.append(len(one))
             values = np.concatenate(parts)
             owners = np.repeat(np.array(nodes, np.int64), counts)
-            # Not the hash itself: a prefix holds the smallest of them.
+            held = np.repeat(np.array(sizes, np.uint32), counts)
+            # Not the hash itself: a prefix holds small ones of equal classes.
             bucket = (mix(values) >> np.uint64(40)).astype(np.int64) % buckets
             place = np.argsort(bucket, kind="stable")
-            values, owners, bucket = values[place], owners[place], bucket[place]
+            values, owners, held, bucket = values[place], owners[place], held[place], bucket[place]
             starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, np.int64)
             ends = np.append(starts[1:], len(bucket))
             yield pa.RecordBatch.from_arrays(
@@ -226,29 +272,38 @@ def _postings(frequent, words: int, percent: int, buckets: int):
                     pa.array(bucket[starts], pa.int64()),
                     pa.array([values[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
                     pa.array([owners[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+                    pa.array([held[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
                 ],
-                ["bucket", "shingles", "nodes"],
+                ["bucket", "shingles", "nodes", "sizes"],
             )
 
     return run
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Buckets, sorted, to ``(leader, node, shared)``: shingles that a node shares in a group."""
+def _groups(percent: int):
+    """Buckets, sorted, to ``(leader, node, shared)``: shingles that a node shares in the group of
+    another, its leader.
+
+    Of the nodes of a shingle, ordered by size, those on two sides of a gap cannot link.
+    """
 
-    def out(values, owners):
+    def out(values: list[bytes], owners: list[bytes], sizes: list[bytes]) -> pa.RecordBatch:
         values = np.frombuffer(b"".join(values), np.uint64)
         owners = np.frombuffer(b"".join(owners), np.int64)
-        place = np.lexsort((owners, values))
-        values, owners = values[place], owners[place]
+        sizes = np.frombuffer(b"".join(sizes), np.uint32)
+        place = np.lexsort((owners, sizes, values))
+        values, owners, sizes = values[place], owners[place], sizes[place].astype(np.int64)
         fresh = np.ones(len(values), bool)  # copies in other batches repeat a pair
         fresh[1:] = (values[1:] != values[:-1]) | (owners[1:] != owners[:-1])
-        values, owners = values[fresh], owners[fresh]
-        starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+        values, owners, sizes = values[fresh], owners[fresh], sizes[fresh]
+        first = np.ones(len(values), bool)
+        first[1:] = (values[1:] != values[:-1]) | (100 * sizes[:-1] < percent * sizes[1:])
+        starts = np.flatnonzero(first)
         counts = np.diff(np.append(starts, len(values)))
-        shared = np.repeat(counts > 1, counts)
-        leaders = np.repeat(owners[starts], counts)[shared]  # the smallest, as they are sorted
-        owners = owners[shared]
+        least = np.minimum.reduceat(owners, starts) if len(starts) else owners
+        leaders = np.repeat(least, counts)
+        led = leaders != owners
+        leaders, owners = leaders[led], owners[led]
         place = np.lexsort((owners, leaders))
         leaders, owners = leaders[place], owners[place]
         new = np.ones(len(owners), bool)
@@ -259,17 +314,20 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["leader", "node", "shared"],
         )
 
-    current, values, owners = None, [], []
-    for batch in batches:
-        for bucket, some, nodes in zip(*[batch.column(c).to_pylist() for c in ("bucket", "shingles", "nodes")]):
-            if bucket != current and values:
-                yield out(values, owners)
-                values, owners = [], []
-            current = bucket
-            values.append(some)
-            owners.append(nodes)
-    if values:
-        yield out(values, owners)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held = None, ([], [], [])
+        for batch in batches:
+            for bucket, *some in zip(*[batch.column(c).to_pylist() for c in ("bucket", "shingles", "nodes", "sizes")]):
+                if bucket != current and held[0]:
+                    yield out(*held)
+                    held = ([], [], [])
+                current = bucket
+                for column, value in zip(held, some):
+                    column.append(value)
+        if held[0]:
+            yield out(*held)
+
+    return run
 
 
 def _texts(words: int):
@@ -491,34 +549,26 @@ def jaccard_components(
     rows = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     first = written(
         rows.mapInArrow(
-            returning(_describe(words)), "kind int, doc_id long, size long, node long, shingle long, found long"
+            returning(_describe(words)), "kind int, doc_id long, size long, node long, piece int, counts binary"
         ),
         "described",
     )
     documents = first.filter("kind = 0").select("doc_id", "size", "node")
-    total = documents.count()
-    often = (
-        first.filter("kind = 1")
-        .groupBy("shingle")
-        .agg(F.sum("found").alias("found"))
-        .filter(F.col("found") > max(8, total // FREQUENT_SHARE))
-        .orderBy(F.desc("found"), "shingle")
-        .limit(FREQUENT_MOST)
-        .collect()
-    )
-    frequent = spark.sparkContext.broadcast(
-        np.sort(np.array([row.shingle for row in often], np.int64).view(np.uint64))
-    )
+    classes = spark.sparkContext.broadcast(rarity(first))
     buckets = partitions(spark)
     shared = (
         rows.mapInArrow(
-            returning(_postings(frequent, words, percent, buckets)), "bucket long, shingles binary, nodes binary"
+            returning(_postings(classes, words, percent, buckets)), "bucket long, shingles binary, nodes binary, sizes binary"
         )
         .repartition(buckets, "bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(returning(_groups), "leader long, node long, shared long")
+        .mapInArrow(returning(_groups(percent)), "leader long, node long, shared long")
     )
     groups = written(shared.groupBy("leader", "node").agg(F.sum("shared").alias("shared")), "groups")
+    classes.unpersist()
+    # A leader shares each of its group's shingles with another, so this is never too small.
+    leaders = groups.groupBy("leader").agg(F.sum("shared").alias("shared"))
+    groups = groups.union(leaders.select("leader", F.col("leader").alias("node"), "shared"))
     nodes = documents.filter("size > 0").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("size").alias("size")
     )
