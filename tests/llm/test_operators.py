@@ -561,6 +561,17 @@ def test_pairs_of_large_units_come_unit_by_unit():
     assert most < 24 << 20
 
 
+def texts_with_phrases(rng):
+    """Words of 1,500 texts: four phrases of many texts (each in about 15) among words of their own."""
+    texts = []
+    for nr in range(1500):
+        words = []
+        for part, phrase in enumerate(rng.integers(0, 400, 4)):
+            words += [f"p{phrase}w{k}" for k in range(5)] + [f"own{nr}x{part}x{k}" for k in range(6)]
+        texts.append(words)
+    return texts
+
+
 def test_shingles_of_many_texts_make_no_groups(spark, monkeypatch):
     from pulsetide.llm import ngram_jaccard as j
 
@@ -573,18 +584,12 @@ def test_shingles_of_many_texts_make_no_groups(spark, monkeypatch):
 
     monkeypatch.setattr(j, "written", counted)
     rng = np.random.default_rng(11)
-    # Four phrases of many texts (each in about 15 of 1,500) among words of the text's own.
-    texts = []
-    for nr in range(1500):
-        words = []
-        for part, phrase in enumerate(rng.integers(0, 400, 4)):
-            words += [f"p{phrase}w{k}" for k in range(5)] + [f"own{nr}x{part}x{k}" for k in range(6)]
-        texts.append(words)
+    texts = texts_with_phrases(rng)
     copies = [words[:-1] + ["other"] for words in texts[:20]]
     table = [(nr, " ".join(words)) for nr, words in enumerate(texts + copies)]
     got = {r.doc_id: r.component_id for r in j.jaccard_components(docs(spark, table)).collect()}
     assert got == {nr: nr if nr < 1500 else nr - 1500 for nr in range(1520)}
-    # About 2,000 when the order was by the hash up to a share of all texts.
+    # 1,774 when only shingles of a large share of a batch were told from rare ones.
     assert 40 <= rows["groups-alive"] < 200
 
 
@@ -638,3 +643,23 @@ def test_nodes_of_a_shingle_that_no_size_connects_share_no_group():
     })
     found = [tuple(row.values()) for part in j._groups(75)(iter([batch, batch])) for row in part.to_pylist()]
     assert found == [(2, 5, 1), (3, 4, 1), (3, 6, 1)]
+
+
+def test_near_copies_in_the_pipeline_meet_no_texts_of_common_phrases(spark, monkeypatch):
+    import corpus_pipeline
+    from pulsetide.llm import ngram_jaccard as j
+
+    rows = []
+
+    def counted(frame, name, write=j.written):
+        out = write(frame, name)
+        rows.extend([out.count()] if name == "texts" else [])
+        return out
+
+    monkeypatch.setattr(j, "written", counted)
+    texts = texts_with_phrases(np.random.default_rng(12))
+    table = docs(spark, [(nr, " ".join(words)) for nr, words in enumerate(texts + [texts[7][1:], texts[8][:-1]])])
+    table = table.selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "char_length(text) AS n_chars")
+    kept = corpus_pipeline.drop_near_copies(spark, table, "")
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == list(range(1500))
+    assert rows[0] < 100  # texts that are dealt and made points; 1,129 before
